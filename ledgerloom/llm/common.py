@@ -56,18 +56,39 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Bytes of a word -> the 8 bytes of its hash. Emptied when full; that only costs time."""
+class Memo(dict):
+    """What ``make`` gives for a key, kept in two generations of at most ``LIMIT`` keys.
 
-    LIMIT = 400_000
+    When the young one is full it becomes the old one, so frequent keys stay and memory is bounded.
+    """
+
+    LIMIT = 300_000
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict = {}
+
+    def make(self, key):
+        raise NotImplementedError
 
-    def __missing__(self, word: bytes) -> bytes:
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.LIMIT:
+            self.old = dict(self)
             self.clear()
-        value = self[word] = hashlib.blake2b(word, digest_size=8).digest()
+        self[key] = value
         return value
 
 
+class WordHashes(Memo):
+    """Bytes of a word -> the 8 bytes of its hash."""
+
+    def make(self, key: bytes) -> bytes:
+        return hashlib.blake2b(key, digest_size=8).digest()
+
+
 def blocks_of(texts, chars: int = 1_000_000):
     """Index ranges of ``texts`` that hold about ``chars`` characters each, one text at least."""
     start, held = 0, 0

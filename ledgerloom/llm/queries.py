@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from . import ann
 from .common import table
+from .decontaminate import find_leaks
+from .html_extract import extract_main
 from .language_id import identify
 from .license_scan import known_digests, scan_licenses
+from .line_dedup import dedup_lines
+from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .secret_scan import scan_secrets
 from .url_filter import filter_urls, rule_table
@@ -16,18 +23,44 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_patience_line_dedup(spark, sf_dir):
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    span = F.transform("_cut.spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return cut.select(
+        "doc_id", "text", F.coalesce("_cut.lines", F.lit(0)).alias("cut_lines"), F.coalesce("_cut.words", F.lit(0)).alias("cut_words"),
+        F.coalesce("_cut.partners", F.array().cast("array<bigint>")).alias("partners"), F.coalesce(F.array_join(span, ","), F.lit("")).alias("cut_spans"),
+    )
+
+
 def op2_secret_ledger(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_ivf_pq_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op4_latent_decontamination(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_license_digests(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"), known_digests(spark))
 
 
+def op6_fast_similarity_sketch(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_string_kernel_language(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op8_union_free_wrappers(spark, sf_dir):
+    return extract_main(table(spark, sf_dir, "pages"))
+
+
 def op9_karmarkar_karp_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -36,7 +69,13 @@ def op10_url_rules(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_ledger, op5_license_digests, op7_string_kernel_language, op9_karmarkar_karp_packing, op10_url_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_patience_line_dedup, op2_secret_ledger, op3_ivf_pq_neighbours, op4_latent_decontamination, op5_license_digests,
+        op6_fast_similarity_sketch, op7_string_kernel_language, op8_union_free_wrappers, op9_karmarkar_karp_packing, op10_url_rules,
+    )
+}
 ORACLES: dict[str, str] = {}
 
 
