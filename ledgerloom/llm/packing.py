@@ -13,6 +13,9 @@ each distinct word is encoded about once per worker.
 from __future__ import annotations
 
 import heapq
+import re
+import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -20,28 +23,69 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64
+from .common import Memo, Scratch
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class WordIds(dict):
-    """Word -> its ids as little-endian uint32 bytes. Emptied when full; that only costs time."""
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next free one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)]
+
+
+class CoreIds(Memo):
+    """Word -> its ids as little-endian uint32 bytes.
+
+    Latin letters in composed form pass the normaliser unchanged but for their case and are one piece, so they
+    go to the merge table directly; anything else takes the whole tokenizer.
+    """
 
     LIMIT = 400_000
+    LETTERS = _byte_letters()
 
     def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.merges = self.tokenizer.model
+        probe = "wörld"
+        self.direct = self._merge(probe) == self.tokenizer.encode(probe, add_special_tokens=False).ids == self.tokenizer.encode("WÖRLD", add_special_tokens=False).ids
+
+    def _merge(self, word: str) -> list[int]:
+        return [t.id for t in self.merges.tokenize(word if word.isascii() else "".join(map(self.LETTERS.__getitem__, word.encode())))]
+
+    def make(self, key: str) -> bytes:
+        if self.direct and key.isalpha() and (key.isascii() or (max(key) < "\u0130" and unicodedata.is_normalized("NFC", key))):
+            ids = self._merge(key.lower())
+        else:
+            ids = self.tokenizer.encode(key, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return value
+class WordIds(Memo):
+    """As ``CoreIds``, for words as they stand in a text.
+
+    The tokenizer cuts between letters and ASCII punctuation other than the apostrophe, and lower-cases:
+    so letters followed by such punctuation are looked up apart, and ASCII letters in lower case.
+    """
+
+    LIMIT = 500_000
+    EDGE = re.compile(r"([^\W\d_]+)([!-&(-/:-;=-@\[-`{-~]+)")  # not < either: special tokens open with it
+
+    def __init__(self, tokenizer_json: str) -> None:
+        super().__init__()
+        self.core = CoreIds(tokenizer_json)
+
+    def make(self, key: str) -> bytes:
+        m = self.EDGE.fullmatch(key)
+        if not m:
+            return self.core[key.lower() if key.isascii() and key.isalpha() else key]
+        word = m[1]
+        return self.core[word.lower() if word.isascii() else word] + self.core[m[2]]
 
 
 _words: dict[int, WordIds] = {}  # per worker process
