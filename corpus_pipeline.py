@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Scratch, table
-from ledgerloom.llm.decontaminate import with_leaks
+from ledgerloom.llm.decontaminate import without_leaks
 from ledgerloom.llm.language_id import UNKNOWN, train, with_language
 from ledgerloom.llm.line_dedup import dedup_lines
 from ledgerloom.llm.near_dedup import near_duplicates
@@ -49,7 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, or a paraphrase of one, go."""
-    return with_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("_leaks") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without_leaks(docs, table(spark, sf_dir, "benchmark")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,59 +7,49 @@ the parts are summed in two levels, Nyström's formula gives the basis) spans th
 latent cosine to an item is at least ``COSINE`` are candidates. A candidate is confirmed by the longest common
 subsequence of the item and the words around the passage, and, for paraphrases, of the item's last part (its answer).
 
-The benchmark is taken in blocks of ``BLOCK`` items; a block's vocabulary, idf and basis are what is broadcast.
-Texts are never shuffled.
+The benchmark is taken in blocks of ``BLOCK`` items; a block's vocabulary, idf and basis are what is broadcast. Texts
+are split once per block into vocabulary numbers, which the three passes read; nothing is shuffled but the sums.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, blocks_of
+from .common import Scratch
 
 WINDOW = 32
 STEP = WINDOW // 2
 BLOCK = 2000
 RANK, OVERSAMPLE = 128, 16
-COMMON = 0.25  # words in more passages than this share weigh nothing
-COSINE = 0.35
+COMMON = 0.05  # words in more passages than this share weigh nothing
+COSINE = 0.45
 WHOLE, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 STRIPE = 64  # vocabulary rows that are summed together
 
-HITS = "array<struct<item_id:long,cosine:double,lcs:double,answer:double,first_word:int,last_word:int>>"
-_edge = re.compile(r"^[\W_]+|[\W_]+$")
+CONTAINED = 0.4  # of an item's squared weight, that a candidate passage holds (of what fits a passage)
+MAX_BROADCAST = 1_000_000  # contaminated rows whose ids are broadcast; more are joined by shuffle
 
+HIT = "item_id long, cosine double, lcs double, answer double, first_word int, last_word int"
+#: ASCII punctuation and white space part words; letters beyond ASCII stay as they are.
+_PARTS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
-def plain(word: str) -> str:
-    """Lower-cased word without punctuation at its ends; '' for punctuation alone."""
-    return _edge.sub("", word).lower()
 
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-cased words, as UTF-8."""
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_PARTS).split()
 
-class Vocabulary(Memo):
-    """Raw word -> vocabulary number, -1 outside it, -2 for no word."""
 
-    def __init__(self, numbers: dict[str, int]) -> None:
-        super().__init__()
-        self.numbers = numbers
-
-    def __reduce__(self):
-        return Vocabulary, (self.numbers,)
-
-    def make(self, key: str) -> int:
-        word = plain(key)
-        return self.numbers.get(word, -1) if word else -2
-
-    def of(self, text: str | None) -> np.ndarray:
-        words = (text or "").split()
-        x = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return x[x > -2]
+def numbers_of(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
+    """Vocabulary number of each word, -1 outside it."""
+    words = words_of(text)
+    return np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
 
 
 def lcs(masks: dict[int, int], n: int, words) -> int:
@@ -85,11 +75,13 @@ class Block:
 
     item_ids: list[int]
     items: list[list[int]]
-    vocabulary: Vocabulary
+    vocabulary: dict[bytes, int]
     weight: np.ndarray | None = None  # idf, 0 for common words
     basis: np.ndarray | None = None  # words x rank, rows scaled by weight
     latent: np.ndarray | None = None  # items x rank, unit rows
     masks: list = field(default_factory=list)
+    within: np.ndarray | None = None  # items x words
+    need: list = field(default_factory=list)  # what a passage must hold of each item
 
     def confirm(self, words: np.ndarray, k: int, a: int, b: int):
         """(lcs, answer, first, last) of item ``k`` in the words around ``a:b``, or None."""
@@ -120,8 +112,7 @@ class Windows:
     starts: np.ndarray  # first block of each text, and the number of blocks
 
 
-def windows_of(texts, vocabulary: Vocabulary, weight: np.ndarray | None) -> Windows:
-    words = [vocabulary.of(t) for t in texts]
+def windows_of(words: list[np.ndarray], weight: np.ndarray | None) -> Windows:
     sizes = np.array([2 * max(1, -(-len(w) // WINDOW)) for w in words], np.int64)  # even: no passage spans two texts
     starts = np.concatenate([[0], np.cumsum(sizes)])
     x = np.concatenate(words) if words else np.zeros(0, np.int32)
@@ -142,56 +133,76 @@ def _pairs_of_blocks(w: Windows) -> tuple[np.ndarray, np.ndarray]:
     return first, owner
 
 
-def _by_block(w: Windows, rows: np.ndarray) -> np.ndarray:
-    """Sums over blocks of per-word rows; one more zero block at the end."""
-    out = np.zeros((int(w.starts[-1]) + 1, rows.shape[1]), rows.dtype)
+def _by_block(w: Windows, table: np.ndarray) -> np.ndarray:
+    """Sums over blocks of the words' rows in ``table``; one more zero block at the end.
+
+    Word by word of all blocks at a time: a block has at most ``STEP`` words of a passage's two.
+    """
+    out = np.zeros((int(w.starts[-1]) + 1, table.shape[1]), table.dtype)
     if len(w.at):
         edges = np.flatnonzero(np.diff(w.at, prepend=-1))
-        out[w.at[edges]] = np.add.reduceat(rows, edges, axis=0)
+        counts = np.diff(np.append(edges, len(w.at)))
+        for c in range(int(counts.max())):
+            more = counts > c
+            out[w.at[edges[more]]] += table[w.v[edges[more] + c]]
     return out
 
 
-def _idf(docs: DataFrame, block: Block) -> tuple[int, np.ndarray]:
+def _unpack(column) -> list[np.ndarray]:
+    return [np.frombuffer(b, np.int32) for b in column]
+
+
+def _parts(words: list[np.ndarray], most: int = 100_000):
+    """Consecutive texts with about ``most`` words."""
+    start, held = 0, 0
+    for i, w in enumerate(words):
+        held += len(w)
+        if held >= most:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(words):
+        yield start, len(words)
+
+
+def _idf(numbered: DataFrame, size: int) -> tuple[int, np.ndarray]:
     """Passages, and passages per vocabulary word, over all texts (non-overlapping passages)."""
-    size = len(block.vocabulary.numbers)
-    shared = docs.sparkSession.sparkContext.broadcast(block.vocabulary)
 
     def count(batches):
         df, total = np.zeros(size, np.int64), 0
         for pdf in batches:
-            texts = pdf["text"].tolist()
-            for a, b in blocks_of(texts):
-                w = windows_of(texts[a:b], shared.value, None)
-                key = (w.at // 2) * size + w.v
-                df += np.bincount(np.unique(key) % size, minlength=size)
+            words = _unpack(pdf["words"])
+            for a, b in _parts(words):
+                w = windows_of(words[a:b], None)
+                key = np.sort((w.at // 2) * size + w.v)
+                df += np.bincount(key[np.diff(key, prepend=-1) != 0] % size, minlength=size)
                 total += int(w.starts[-1]) // 2
         some = np.flatnonzero(df)
         yield pd.DataFrame({"v": np.append(some, -1).astype(np.int64), "df": np.append(df[some], total)})
 
-    rows = docs.mapInPandas(count, "v long, df long").groupBy("v").agg(F.sum("df").alias("df")).collect()  # a row per word of the block
+    rows = numbered.select("words").mapInPandas(count, "v long, df long").groupBy("v").agg(F.sum("df").alias("df")).collect()  # a row per word of the block
     found = {r["v"]: r["df"] for r in rows}
     return found.get(-1, 0), np.array([found.get(i, 0) for i in range(size)], np.float64)
 
 
-def _moment(docs: DataFrame, block: Block, omega: np.ndarray) -> np.ndarray:
+def _moment(numbered: DataFrame, block: Block, omega: np.ndarray) -> np.ndarray:
     """``(A'A) omega`` over all passages: tasks' sums by stripe of the vocabulary, then two levels of adding."""
     size, width = omega.shape
-    shared = docs.sparkSession.sparkContext.broadcast((block.vocabulary, block.weight, (omega * block.weight[:, None]).astype(np.float32)))
+    shared = numbered.sparkSession.sparkContext.broadcast((block.weight, (omega * block.weight[:, None]).astype(np.float32)))
 
     def add_up(batches):
         from pyspark import TaskContext
 
-        vocabulary, weight, rows = shared.value
+        weight, rows = shared.value
         out = np.zeros((size, width))
         for pdf in batches:
-            texts = pdf["text"].tolist()
-            for a, b in blocks_of(texts, 500_000):
-                w = windows_of(texts[a:b], vocabulary, weight)
+            words = _unpack(pdf["words"])
+            for a, b in _parts(words):
+                w = windows_of(words[a:b], weight)
                 if not len(w.v):
                     continue
                 passage = w.at // 2
                 w2 = Windows(w.words, w.v, passage, np.array([0, int(passage[-1]) + 1]))
-                y = _by_block(w2, rows[w.v])
+                y = _by_block(w2, rows)
                 order = np.argsort(w.v, kind="stable")
                 v = w.v[order]
                 edges = np.flatnonzero(np.diff(v, prepend=-1))
@@ -206,7 +217,7 @@ def _moment(docs: DataFrame, block: Block, omega: np.ndarray) -> np.ndarray:
         return pd.DataFrame({"stripe": [pdf["stripe"].iloc[0]], "salt": [0], "part": [total.tobytes()]})
 
     schema = "stripe int, salt int, part binary"
-    parts = docs.mapInPandas(add_up, schema).groupBy("stripe", "salt").applyInPandas(add, schema).groupBy("stripe").applyInPandas(add, schema)
+    parts = numbered.select("words").mapInPandas(add_up, schema).groupBy("stripe", "salt").applyInPandas(add, schema).groupBy("stripe").applyInPandas(add, schema)
     out = np.zeros((size, width))
     for r in parts.collect():  # one row per stripe: vocabulary x width numbers in all
         part = np.frombuffer(r["part"]).reshape(-1, width)
@@ -214,27 +225,29 @@ def _moment(docs: DataFrame, block: Block, omega: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, item_ids: list[int], texts: list[str], *, rank: int = RANK, seed: int = 7) -> Block | None:
-    """Vocabulary, idf over all passages of ``docs`` (text), randomised SVD, and the items' latent vectors."""
-    numbers: dict[str, int] = {}
+def vocabulary_of(item_ids: list[int], texts: list[str]) -> Block | None:
+    """The items as numbers of their own vocabulary; items without words are left out."""
+    numbers: dict[bytes, int] = {}
     ids, items = [], []
     for i, t in zip(item_ids, texts):
-        words = [w for w in map(plain, (t or "").split()) if w]
+        words = words_of(t)
         if words:
             ids.append(i)
             items.append([numbers.setdefault(w, len(numbers)) for w in words])
-    if not items:
-        return None
-    block = Block(ids, items, Vocabulary(numbers))
-    size = len(numbers)
-    total, df = _idf(docs, block)
+    return Block(ids, items, numbers) if items else None
+
+
+def fit(block: Block, numbered: DataFrame, *, rank: int = RANK, seed: int = 7) -> Block:
+    """idf over all passages of ``numbered`` (words), randomised SVD, and the items' latent vectors."""
+    items, size = block.items, len(block.vocabulary)
+    total, df = _idf(numbered, size)
     block.weight = np.where(df <= max(COMMON * total, 1), np.log((1 + total) / (1 + df)) + 1, 0.0)
     item_rows = np.zeros((len(items), size))
     for k, words in enumerate(items):
         np.add.at(item_rows[k], words, block.weight[words])
     width = min(size, rank + OVERSAMPLE)
     omega, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))
-    y = _moment(docs, block, omega)
+    y = _moment(numbered, block, omega)
     own = item_rows.T @ (item_rows @ omega)
     y = y + own * (max(np.abs(y).sum(), 1e-9) / max(np.abs(own).sum(), 1e-9))  # items weigh as much as the corpus
     shift = 1e-7 * np.linalg.norm(y)
@@ -249,71 +262,100 @@ def fit(docs: DataFrame, item_ids: list[int], texts: list[str], *, rank: int = R
     norm = np.linalg.norm(latent, axis=1, keepdims=True)
     block.latent = (latent / np.where(norm > 0, norm, 1)).astype(np.float32)
     block.basis = (basis * block.weight[:, None]).astype(np.float32)
+    block.within = np.zeros((len(items), size + 1), np.float32)  # squared weight of the item's words; the last column is for words outside
+    for k, words in enumerate(items):
+        block.within[k, words] = block.weight[words] ** 2
+        block.need.append(CONTAINED * float(sum(block.weight[words] ** 2)) * min(1.0, WINDOW / len(words)))
     for words in items:
         tail = words[-max(4, len(words) // 4) :]
         block.masks.append((_masks(words), _masks(tail), len(tail)))
     return block
 
 
-def search(block: Block, texts: list) -> list[list[dict]]:
-    """Confirmed items of each whole text."""
-    out: list[list[dict]] = [[] for _ in texts]
-    for lo, hi in blocks_of(texts, 500_000):
-        w = windows_of(texts[lo:hi], block.vocabulary, block.weight)
-        sums = _by_block(w, block.basis[w.v])
+def search(block: Block, words: list[np.ndarray]) -> list[list[dict]]:
+    """Confirmed items of each whole text, given as vocabulary numbers."""
+    out: list[list[dict]] = [[] for _ in words]
+    need = np.array(block.need, np.float32)
+    for lo, hi in _parts(words):
+        w = windows_of(words[lo:hi], block.weight)
+        if not len(w.v):
+            continue
+        own = np.bincount(w.at, block.weight[w.v] ** 2, int(w.starts[-1]))
         first, owner = _pairs_of_blocks(w)
-        p = sums[first] + sums[first + 1]
-        norm = np.linalg.norm(p, axis=1)
-        for a in range(0, len(p), 8192):
-            cos = (p[a : a + 8192] @ block.latent.T) / np.maximum(norm[a : a + 8192, None], 1e-12)
-            rows, cols = np.nonzero(cos >= COSINE)
-            order = np.argsort(-cos[rows, cols], kind="stable")
-            done: dict[tuple[int, int], bool] = {}
-            for r, k in zip(rows[order].tolist(), cols[order].tolist()):
-                text = int(owner[a + r])
-                if done.get((text, k)):
-                    continue
-                start = int(first[a + r] - w.starts[text]) * STEP
+        some = np.flatnonzero(own[first] + own[first + 1] >= need.min())  # the others hold too little of any item
+        sums = _by_block(w, block.basis)
+        for a in range(0, len(some), 8192):
+            at = some[a : a + 8192]
+            p = sums[first[at]] + sums[first[at] + 1]
+            p /= np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
+            rows, cols = np.nonzero(p @ block.latent.T >= COSINE)
+            if not len(rows):
+                continue
+            near, at_rows = np.unique(rows, return_inverse=True)
+            held = np.full((len(near), WINDOW), -1, np.int32)
+            for i, r in enumerate(at[near]):
+                t = owner[r]
+                start = int(first[r] - w.starts[t]) * STEP
+                part = w.words[t][start : start + WINDOW]
+                held[i, : len(part)] = part
+            holds = np.zeros(len(rows), np.float32)
+            for c in range(WINDOW):
+                holds += block.within[cols, held[at_rows, c]]
+            for r, k in zip(rows[holds >= need[cols]].tolist(), cols[holds >= need[cols]].tolist()):
+                text = int(owner[at[r]])
+                start = int(first[at[r]] - w.starts[text]) * STEP
                 hit = block.confirm(w.words[text], k, start, start + WINDOW)
                 if hit:
-                    done[text, k] = True
-                    out[lo + text].append({"item_id": block.item_ids[k], "cosine": float(cos[r, k]), "lcs": hit[0], "answer": hit[1], "first_word": hit[2], "last_word": hit[3]})
+                    cosine = float(p[r] @ block.latent[k])
+                    out[lo + text].append({"item_id": block.item_ids[k], "cosine": cosine, "lcs": hit[0], "answer": hit[1], "first_word": hit[2], "last_word": hit[3]})
     for hits in out:
         best: dict[int, dict] = {}
         for h in hits:
-            if h["item_id"] not in best or h["lcs"] > best[h["item_id"]]["lcs"]:
+            if h["item_id"] not in best or (h["lcs"], h["cosine"]) > (best[h["item_id"]]["lcs"], best[h["item_id"]]["cosine"]):
                 best[h["item_id"]] = h
         hits[:] = [best[i] for i in sorted(best)]
     return out
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", into: str = "_leaks", block_items: int = BLOCK) -> DataFrame:
-    """``docs`` with an array column of confirmed items (see ``HITS``), by item id; empty for clean texts.
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+               block_items: int = BLOCK, scratch: Scratch | None = None) -> DataFrame:
+    """One row per contaminated row of ``docs`` and item: (``id_col``, version, item_id, cosine, lcs, answer, first_word, last_word).
 
-    Null and empty texts and items match nothing. Every row is judged on its own whole text, repeated rows
-    and ids too; other columns pass through. Items with one id are searched each, the best hit is reported.
-    Items are fetched to the driver block by block, ``block_items`` at a time.
+    ``version`` is a hash of the text: it tells rows that share an id apart. Null and empty texts and items match
+    nothing. Every row is judged on its own whole text, repeated rows and ids too. Items with one id are
+    searched each and the best hit is reported. Items are fetched to the driver block by block, ``block_items``
+    at a time. Other columns are not read.
     """
     spark = docs.sparkSession
+    scratch = scratch or Scratch(spark, "leaks")
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).where("i is not null and t is not null")
     n_blocks = max(1, math.ceil(items.count() / block_items))
-    texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
-    found = docs
-    names = []
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text")).where("text is not null")
+    found = spark.createDataFrame([], f"{id_col} long, version long, {HIT}")
     for b in range(n_blocks):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b).orderBy("i", "t").collect()
-        block = fit(texts, [r["i"] for r in rows], [r["t"] for r in rows])
+        block = vocabulary_of([r["i"] for r in rows], [r["t"] for r in rows])
         if block is None:
             continue
-        shared = spark.sparkContext.broadcast(block)
-        judge = F.pandas_udf(lambda s, shared=shared: pd.Series(search(shared.value, s.tolist())), HITS)
-        names.append(f"{into}_{b}")
-        found = found.withColumn(names[-1], judge(F.coalesce(F.col(text_col), F.lit(""))))
-    whole = F.concat(*[F.col(n) for n in names]) if names else F.from_json(F.lit("[]"), HITS)
-    return found.withColumn(into, F.array_sort(whole)).drop(*names)
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per contaminated document and item: (``id_col``, item_id, cosine, lcs, answer, first_word, last_word)."""
-    found = with_leaks(docs.select(F.col(id_col), F.col(text_col).alias("_text")), benchmark, text_col="_text")
-    return found.select(id_col, F.explode("_leaks").alias("h")).select(id_col, "h.*")
+        vocabulary = spark.sparkContext.broadcast(block.vocabulary)
+        number = F.pandas_udf(lambda s, v=vocabulary: pd.Series([numbers_of(t, v.value).tobytes() for t in s]), "binary")
+        numbered = scratch.keep(texts.select("doc_id", "version", number("text").alias("words")), f"words-{b}")
+        shared = spark.sparkContext.broadcast(fit(block, numbered))
+
+        def judge(batches, shared=shared):
+            for pdf in batches:
+                hits = search(shared.value, _unpack(pdf["words"]))
+                out = [(i, v, *h.values()) for i, v, found in zip(pdf["doc_id"], pdf["version"], hits) for h in found]
+                yield pd.DataFrame(out, columns=["doc_id", "version", "item_id", "cosine", "lcs", "answer", "first_word", "last_word"]).astype({"doc_id": "Int64"})
+
+        found = found.union(numbered.mapInPandas(judge, f"doc_id long, version long, {HIT}"))
+    return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None, **options) -> DataFrame:
+    """Rows of ``docs`` that hold no item, all columns; see ``find_leaks``."""
+    scratch = scratch or Scratch(docs.sparkSession, "leaks")
+    found = find_leaks(docs.select(id_col, text_col), benchmark, id_col=id_col, text_col=text_col, scratch=scratch, **options)
+    bad = scratch.keep(found.select(F.col(id_col).alias("_id"), F.col("version").alias("_version")).distinct(), "contaminated")
+    bad = F.broadcast(bad) if bad.count() <= MAX_BROADCAST else bad
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_version")), "left_anti")

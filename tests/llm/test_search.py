@@ -76,9 +76,12 @@ def test_leaks(spark):
     found = sorted({(r.doc_id if r.doc_id is not None else -1, r.item_id) for r in got})
     assert found == sorted([(100 + k, k) for k in range(12)] + [(200 + k, k) for k in range(6, 12)] + [(-1, 3), (303, 2)])
     assert sum(r.doc_id == 303 for r in got) == 2
-    blocks = decontaminate.with_leaks(docs, benchmark, block_items=5)
-    assert sorted({(r.doc_id if r.doc_id is not None else -1, x.item_id) for r in blocks.collect() for x in r["_leaks"]}) == found
-    assert blocks.columns == [*docs.columns, "_leaks"]
+    blocks = decontaminate.find_leaks(docs, benchmark, block_items=5)
+    assert sorted({(r.doc_id if r.doc_id is not None else -1, r.item_id) for r in blocks.collect()}) == found
+    kept = decontaminate.without_leaks(docs, benchmark)
+    assert kept.columns == docs.columns
+    bad = {i for i, _ in found}
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in rows if (-1 if i is None else i) not in bad)
     assert decontaminate.find_leaks(docs.where("false"), benchmark).count() == 0
     assert decontaminate.find_leaks(docs, benchmark.where("false")).count() == 0
 
