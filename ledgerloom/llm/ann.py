@@ -5,8 +5,9 @@ codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector is i
 per sub-space. A query scans its best lists (as many as hold ``target`` of the sample's true neighbours) with a table of sub-space products (asymmetric: the query
 is not quantised), the best ``rerank`` survivors are rescored on the original vectors in double precision.
 
-Lists are cut into blocks of about ``BLOCK`` codes, and the queries of a list likewise, so a list with a third
-of all vectors is many tasks. Codes and queries meet by list and block; vectors join once for the rescoring.
+Lists are dealt into shards of about ``BLOCK`` codes, a longer list over several, and queries into blocks of as
+many; a shard scans all lists that a query probes in it and hands on its best ``rerank``. So a list with a third of
+all vectors is many tasks, and what is handed on does not follow the number of lists.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
-           target: float = 0.98, rerank: int = 400, scratch: Scratch | None = None) -> DataFrame:
+           target: float = 0.98, rerank: int = 200, scratch: Scratch | None = None) -> DataFrame:
     """The ``k`` nearest of each query by cosine: (query_id, rank, ``id_col``, score), nearest first, ties to smaller ids.
 
     ``queries`` are rows like ``vectors``; a row with the query's own id is no candidate. Null ids and vectors that
@@ -153,54 +154,65 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
                 lists, codes = index.value.encode(unit(_matrix(pdf["v"])))
                 yield pd.DataFrame({"id": pdf["id"], "list": lists.astype(np.int32), "code": [c.tobytes() for c in codes]})
 
+    codes = scratch.keep(rows.mapInPandas(encode, "id long, list int, code binary"), "codes")
+    counts = {r["list"]: r["count"] for r in codes.groupBy("list").count().collect()}  # a row per list
+    pieces = {x: -(-n // BLOCK) for x, n in counts.items()}
+    shards = max(1, -(-total // BLOCK))
+    asks = max(1, -(-asked.count() // BLOCK))
+    shape = F.broadcast(spark.createDataFrame(list(pieces.items()), "list int, pieces int"))
+    stride = 40503  # odd: neighbouring lists and pieces land in different shards
+
     def probe(batches):
         for pdf in batches:
+            out = []
             if len(pdf):
                 q = unit(_matrix(pdf["v"]))
-                lists = index.value.probe(q, probes)
-                flat = np.repeat(np.arange(len(q)), lists.shape[1])
-                yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[flat], "list": lists.ravel().astype(np.int32), "q": [q[i].tolist() for i in flat]})
-
-    codes = scratch.keep(rows.mapInPandas(encode, "id long, list int, code binary"), "codes")
-    wanted = scratch.keep(asked.mapInPandas(probe, "query_id long, list int, q array<double>"), "probes")
-    blocks = codes.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # a row per list
-    asks = wanted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks"))
-    shape = F.broadcast(blocks.join(asks, "list"))
-    left = codes.join(shape, "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
-    right = wanted.join(shape, "list").withColumn("ask", F.pmod(F.xxhash64("query_id"), F.col("asks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-
-    def scan(key, codes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+                for query, row, lists in zip(pdf["query_id"], q, index.value.probe(q, probes).tolist()):
+                    at: dict[int, list[int]] = {}
+                    for x in lists:
+                        for piece in range(pieces.get(x, 0)):
+                            at.setdefault((x * stride + piece) % shards, []).append(x)
+                    out += [(query, shard, x, row.tolist()) for shard, x in at.items()]
+            yield pd.DataFrame(out, columns=["query_id", "shard", "lists", "q"])
+
+    wanted = asked.mapInPandas(probe, "query_id long, shard long, lists array<int>, q array<double>")
+    piece = F.pmod(F.xxhash64("id"), F.col("pieces"))
+    left = codes.join(shape, "list").withColumn("shard", F.pmod(F.col("list") * stride + piece, F.lit(shards)).cast("long"))
+    left = left.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asks - 1)))).select("shard", "ask", "id", "list", "code")
+    right = wanted.withColumn("ask", F.pmod(F.xxhash64("query_id"), F.lit(asks)).cast("int"))
+
+    def scan(codes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "id": [], "near": []}
         if len(codes) and len(queries):
-            ids = codes["id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            c = np.frombuffer(b"".join(codes["code"]), np.uint8).reshape(len(ids), -1)[order]
-            places = np.arange(c.shape[1])[None, :] * 256 + c
-            centre = index.value.centroids[key[0]]
-            for a in range(0, len(queries), 256):
-                part = queries.iloc[a : a + 256]
-                q = _matrix(part["q"])
-                tables = index.value.tables(q).reshape(len(q), -1)
-                for query, base, table in zip(part["query_id"], q @ centre, tables):
-                    near = base + table[places].sum(1)
-                    near[ids == query] = -np.inf
-                    if len(near) > rerank:
-                        least = np.partition(near, len(near) - rerank)[len(near) - rerank]
-                        some = np.flatnonzero(near >= least)
-                        some = some[np.argsort(-near[some], kind="stable")][:rerank]
-                    else:
-                        some = np.flatnonzero(near > -np.inf)
-                    out["query_id"].append(np.full(len(some), query))
-                    out["id"].append(ids[some])
-                    out["near"].append(near[some])
+            codes = codes.sort_values(["list", "id"], kind="stable")
+            ids, lists = codes["id"].to_numpy(), codes["list"].to_numpy()
+            edges = np.flatnonzero(np.diff(lists, prepend=-1))
+            ends = np.append(edges[1:], len(lists))
+            span = {int(lists[a]): (int(a), int(b)) for a, b in zip(edges, ends)}
+            c = np.frombuffer(b"".join(codes["code"]), np.uint8).reshape(len(ids), -1)
+            places = np.arange(c.shape[1], dtype=np.int32)[None, :] * 256 + c
+            for query, mine, q in zip(queries["query_id"], queries["lists"], queries["q"]):
+                q = np.asarray(q)
+                table = index.value.tables(q[None, :]).ravel()
+                found = [(span[x], float(q @ index.value.centroids[x])) for x in mine if x in span]
+                near = np.concatenate([base + table[places[a:b]].sum(1) for (a, b), base in found]) if found else np.zeros(0)
+                which = np.concatenate([ids[a:b] for (a, b), _ in found]) if found else np.zeros(0, np.int64)
+                near, which = near[which != query], which[which != query]
+                if len(near) > rerank:
+                    least = np.partition(near, len(near) - rerank)[len(near) - rerank]
+                    near, which = near[near >= least], which[near >= least]
+                    some = np.lexsort((which, -near))[:rerank]
+                    near, which = near[some], which[some]
+                out["query_id"].append(np.full(len(which), query))
+                out["id"].append(which)
+                out["near"].append(near)
         return pd.DataFrame({n: np.concatenate(x) if x else np.zeros(0) for n, x in out.items()}).astype({"query_id": "int64", "id": "int64"})
 
-    by = ["list", "block", "ask"]
-    near = left.select(*by, "id", "code").groupBy(*by).cogroup(right.select(*by, "query_id", "q").groupBy(*by)).applyInPandas(scan, "query_id long, id long, near double")
+    by = ["shard", "ask"]
+    near = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(scan, "query_id long, id long, near double")
     from pyspark.sql import Window
 
-    # A query has at most probes x blocks x rerank survivors.
+    # A query has at most shards x rerank survivors.
     first = near.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "id"))).where(F.col("r") <= rerank)
     pairs = scratch.keep(first.select("query_id", "id").distinct(), "survivors")
 
