@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from . import receipts
+from . import chain, receipts, state, stores, streams
 
-QUERIES = {}
-ORACLES = {}
-for part in (receipts,):
+QUERIES, ORACLES = {}, {}
+for part in (receipts, stores, state, chain, streams):
     QUERIES |= part.QUERIES
     ORACLES |= part.ORACLES
