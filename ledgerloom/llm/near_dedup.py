@@ -9,10 +9,11 @@ agreeing coordinates is concentrated as that of t independent minima.
 probability (1 - 0.75**5)**48 = 2e-6. Each candidate is confirmed on the full shingle sets.
 
 No bucket is expanded into all its pairs. Documents with one shingle set are one class from the start. In a
-bucket that spans several components, members are compared with one pivot, components are merged, and this
-repeats while it pays. What then still differs within a bucket is compared exhaustively across components,
-and where that would be large, through the rarest quarter of the shingles (an exact prefix filter), never
-within a component.
+bucket that spans several components, members are compared with one pivot, the member that shares most buckets
+(so the least edited copy of a group), components are merged, and this repeats while it pays. What still differs is
+compared across components only: pair by pair in buckets with few such pairs, and block by block, one task per
+two blocks of documents, where copies scatter around the threshold in one large group. A component's own members are never
+compared again, and no comparison that could link two components is left out.
 """
 
 from __future__ import annotations
@@ -33,9 +34,12 @@ SIMILAR = 75  # percent
 BANDS, ROWS = 48, 5
 BINS = BANDS * ROWS
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-STAR_ROUNDS = 4
-#: A bucket whose cross-component pairs exceed this goes through the prefix filter.
-LARGE = 20_000
+STAR_ROUNDS = 3
+#: A bucket with more cross-component pairs than this is compared in blocks of ``BLOCK`` documents.
+LARGE = 2_000
+BLOCK = 400
+#: Candidate documents whose ids are broadcast to pick their texts; more are joined by shuffle.
+MAX_BROADCAST = 1_000_000
 
 SKETCH = "doc_id long, n long, digest binary, bands array<long>"
 _hashes: list[WordHashes] = []
@@ -116,13 +120,6 @@ def _confirmed(batches):
         yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _tokens(batches):
-    for pdf in batches:
-        for i, comp, text in zip(pdf["rep"], pdf["comp"], pdf["text"]):
-            s = shingles(text)
-            yield pd.DataFrame({"rep": np.full(len(s), i), "comp": np.full(len(s), comp), "n": np.full(len(s), len(s)), "token": s.view(np.int64)})
-
-
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int):
     """Arrow batches of fewer rows while texts travel in pairs."""
@@ -158,64 +155,104 @@ def _cross_pairs(rows: DataFrame, key: str) -> DataFrame:
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _with_major(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of keys that span components, and per such key: major, minor (rows outside it), size."""
-    per = rows.groupBy(key, "comp").agg(F.count("*").alias("c"), F.min("rep").alias("low"))
+def _with_major(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of keys that span components, with the key's size, its largest component and the rows outside that."""
+    per = rows.groupBy(key, "comp").agg(F.count("*").alias("c"))
     per = per.groupBy(key).agg(
         F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("comp", "c").alias("major"), F.count("*").alias("comps"),
     ).where("comps > 1").withColumn("minor", F.col("size") - F.col("most"))
-    return rows.join(per.select(key, "major", "size", "minor"), key), per
+    return rows.join(per.select(key, "major", "size", "minor"), key)
 
 
 def link_classes(texts: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) over class representatives. ``classes`` has (rep, n, bands)."""
     rows = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"), F.min_by("n", "rep").alias("pivot_n")).where("pivot < top")
-    hits = scratch.keep(rows.join(shared.drop("top"), "bucket"), "hits")
-
-    pairs = hits.where("rep <> pivot").where(_ratio_fits(F.col("n"), F.col("pivot_n"))).select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = confirm(pairs, texts, scratch, "links-0")
-    found = components(links, scratch, "found-0")
-    at = hits.select("bucket", "rep", "n")
-    for round_ in range(1, STAR_ROUNDS + 2):
-        placed = at.join(found.withColumnRenamed("node", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        mixed = scratch.keep(_with_major(placed, "bucket")[0], f"mixed-{round_}")
-        load = mixed.select("bucket", "size", "minor").distinct().agg(F.sum(F.col("size") * F.col("minor")), F.sum("size")).first()
-        if not load[0]:
-            break
-        if load[0] <= 8 * load[1] or round_ > STAR_ROUNDS:
-            small = _cross_pairs(mixed.where(F.col("size") * F.col("minor") <= LARGE), "bucket")
-            large = mixed.where(F.col("size") * F.col("minor") > LARGE)
-            pairs = small if large.isEmpty() else small.union(_prefix_pairs(large, texts, scratch)).distinct()
-            last = True
-        else:  # another star, around a member of a smaller component
-            pivot = mixed.where("comp <> major").groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", F.lit(round_)), "rep", "n", "comp")).alias("p"))
-            pairs = mixed.join(pivot, "bucket").where((F.col("comp") != F.col("p.comp")) & _ratio_fits(F.col("n"), F.col("p.n")))
-            pairs = pairs.select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct()
-            last = False
+    shared = rows.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("top"), F.count("*").alias("size")).where("low < top")
+    hits = scratch.keep(rows.join(shared.select("bucket", "size"), "bucket"), "hits")
+    weights = hits.groupBy("rep").agg(F.sum("size").alias("weight"))
+    hits = scratch.keep(hits.join(weights, "rep").select("bucket", "rep", "n", "weight"), "weighted")
+    scratch.drop("hits")
+
+    # Only candidates' texts are read again.
+    who = hits.select(F.col("rep").alias("doc_id")).distinct()
+    texts = scratch.keep(texts.join(F.broadcast(who) if who.count() <= MAX_BROADCAST else who, "doc_id", "left_semi"), "texts")
+
+    links, found, at, paid = None, None, hits, True
+    for round_ in range(STAR_ROUNDS + 1):
+        if found is None:
+            mixed = at.withColumn("comp", F.col("rep"))
+        else:
+            placed = at.join(found.withColumnRenamed("node", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+            mixed = scratch.keep(_with_major(placed, "bucket"), f"mixed-{round_}")
+            load = mixed.select("bucket", "size", "minor").distinct().agg(F.sum(F.col("size") * F.col("minor")), F.sum("size")).first()
+            if not load[0]:
+                break
+            if load[0] <= 8 * load[1] or round_ == STAR_ROUNDS or not paid:
+                small = _cross_pairs(mixed.where(F.col("size") * F.col("minor") <= LARGE), "bucket")
+                new = confirm(small, texts, scratch, f"links-{round_}")
+                large = mixed.where(F.col("size") * F.col("minor") > LARGE)
+                if not large.isEmpty():
+                    new = new.union(_block_links(large, texts, scratch))
+                return components(links.union(new), scratch, f"found-{round_}")
+        # A star in each bucket; later ones have their pivot outside the bucket's largest component.
+        pivots = (mixed if found is None else mixed.where("comp <> major")).groupBy("bucket").agg(F.max(F.struct("weight", "rep", "n", "comp")).alias("p"))
+        pairs = mixed.join(pivots, "bucket").where((F.col("comp") != F.col("p.comp")) & _ratio_fits(F.col("n"), F.col("p.n")))
+        pairs = scratch.keep(pairs.select(F.col("rep").alias("a"), F.col("p.rep").alias("b")).distinct(), f"pairs-{round_}")
         new = confirm(pairs, texts, scratch, f"links-{round_}")
-        links = links.union(new)
+        paid = round_ == 0 or new.count() * 20 > pairs.count()
+        links = new if links is None else links.union(new)
         found = components(links, scratch, f"found-{round_}")
-        if last:
-            break
-        at = mixed.select("bucket", "rep", "n")
+        at = mixed.select("bucket", "rep", "n", "weight")
     return found
 
 
-def _prefix_pairs(rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """All pairs across components that can reach the similarity, among the documents of ``rows``.
+def _block_links(rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links across components among documents that share a large bucket: (a, b).
 
-    Shingles are ordered by how many of these documents have them, rarest first; two sets with Jaccard
-    similarity s share one of their first ``n - ceil(s n) + 1``.
+    A unit is a group of documents that large buckets connect, or a single bucket where the group is so loose
+    that its buckets together cost less. In a unit, every document outside the major component meets
+    every document, as blocks against blocks.
     """
-    from pyspark.sql import Window
-
-    who = rows.select("rep", "comp").distinct()
-    tokens = scratch.keep(who.join(texts.withColumnRenamed("doc_id", "rep"), "rep").mapInPandas(_tokens, "rep long, comp long, n long, token long"), "tokens")
-    tokens = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("df")), "token")
-    rank = F.row_number().over(Window.partitionBy("rep", "n").orderBy("df", "token"))
-    first = tokens.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1).where("df > 1")
-    return _cross_pairs(_with_major(first.select("token", "rep", "n", "comp"), "token")[0], "token")
+    first = rows.groupBy("bucket").agg(F.min("rep").alias("b"))
+    linked = components(rows.join(first, "bucket").select(F.col("rep").alias("a"), "b"), scratch, "groups")
+    grouped = rows.join(linked.withColumnRenamed("node", "rep").withColumnRenamed("component", "unit"), "rep")
+    by_bucket = grouped.select("unit", "bucket", "size", "minor").distinct().groupBy("unit").agg(F.sum(F.col("size") * F.col("minor")).alias("bucket_cost"))
+    members = scratch.keep(grouped.select("unit", "rep", "n", "comp").distinct(), "unit-members")
+    spread = members.groupBy("unit", "comp").agg(F.count("*").alias("c")).groupBy("unit").agg(F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("comp", "c").alias("major"))
+    tight = spread.join(by_bucket, "unit").withColumn("tight", F.col("size") * (F.col("size") - F.col("most")) <= F.col("bucket_cost"))
+    whole = members.join(tight.where("tight").select("unit", "size", "most", "major"), "unit")
+    whole = whole.select(F.concat(F.lit("g"), F.col("unit")).alias("unit"), "rep", "n", "comp", "major", "size", (F.col("size") - F.col("most")).alias("minor"))
+    loose = grouped.join(tight.where("not tight").select("unit"), "unit", "left_semi").select(F.concat(F.lit("b"), F.col("bucket")).alias("unit"), "rep", "n", "comp", "major", "size", "minor")
+    units = scratch.keep(whole.union(loose), "units")
+    number = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
+    mine = lambda count: F.pmod(F.xxhash64("rep"), number(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), number(count) - 1))
+    text = texts.withColumnRenamed("doc_id", "rep")
+    left = units.where("comp <> major").withColumn("x", mine("minor")).withColumn("y", every("size")).join(text, "rep")
+    right = units.withColumn("y", mine("size")).withColumn("x", every("minor")).join(text, "rep")
+    by, names = ["unit", "x", "y"], ["unit", "x", "y", "rep", "comp", "text"]
+    left, right = (side.select(*[F.col(c).alias(c) for c in names]) for side in (left, right))
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        if len(left) and len(right):
+            sets = [shingles(t) for t in right["text"]]
+            sizes = np.array([len(s) for s in sets])
+            ends = np.cumsum(sizes)
+            tokens = np.concatenate(sets)
+            reps, comps = right["rep"].to_numpy(), right["comp"].to_numpy()
+            for rep, comp, t in zip(left["rep"], left["comp"], left["text"]):
+                own = shingles(t)
+                at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
+                counted = np.concatenate([[0], np.cumsum(own[at] == tokens)])
+                both = counted[ends] - counted[ends - sizes]
+                near = (100 * both >= SIMILAR * (len(own) + sizes - both)) & (comps != comp)
+                some, at_first = np.unique(comps[near], return_index=True)  # one link per component tells all
+                b += reps[near][at_first].tolist()
+                a += [rep] * len(some)
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    return scratch.keep(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(meet, "a long, b long"), "block-links")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:

@@ -146,9 +146,10 @@ def edited(text, rate, rng):
     return " ".join(words(rng.random(), 1) if rng.random() < rate else w for w in text.split())
 
 
-@pytest.mark.parametrize("large", [20_000, 10])
+@pytest.mark.parametrize("large", [2_000, 5])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, large):
     monkeypatch.setattr(near_dedup, "LARGE", large)
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
     rng = random.Random(7)
     rows = [(i, words(i, rng.randrange(1, 120))) for i in range(40)]
     base = words(999, 90)
