@@ -36,7 +36,7 @@ BINS = BANDS * ROWS
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 STAR_ROUNDS = 3
 #: A bucket with more cross-component pairs than this is compared in blocks of ``BLOCK`` documents.
-LARGE = 2_000
+LARGE = 200
 BLOCK = 400
 #: Candidate documents whose ids are broadcast to pick their texts; more are joined by shuffle.
 MAX_BROADCAST = 1_000_000
