@@ -194,3 +194,21 @@ def test_message_pairs_must_match(spark):
     bad = spark.createDataFrame([(1, ["a"], [1, 2])], "tx int, msgs array<string>, outcomes array<int>")
     with pytest.raises(Exception, match="differs"):
         R.pair_messages(bad).collect()
+
+
+def test_validators_and_pairs(spark):
+    from ledgerloom.functions.encoding import bech32_encode
+    from ledgerloom.operators import checks as C
+
+    good = bech32_encode("acc", bytes(20))
+    params = spark.createDataFrame([("ibc_denom", "ibc/" + "A" * 64), ("ibc_denom", "x"), ("ibc_timeout", "5"), ("ibc_timeout", str(2**64)), ("max_callback_gas", "0"), ("enable_auto_deployment", "true"), ("enable_auto_deployment", "yes"), ("admin", ""), ("admin", good), ("admin", "a"), ("other", "1")], "name string, value string")
+    assert sorted(map(tuple, C.parameter_errors(params, Denoms("source")).select("name", "value").collect())) == sorted([("ibc_denom", "x"), ("ibc_timeout", str(2**64)), ("max_callback_gas", "0"), ("enable_auto_deployment", "yes"), ("admin", "a"), ("other", "1")])
+    rows = spark.createDataFrame([(1, good, [("a", 1), ("b", 2)]), (2, "x", [("a", 1)]), (3, good, []), (4, good, [("b", 1), ("a", 1)]), (5, good, [("a", 0)]), (6, None, None)], "id int, address string, coins array<struct<denom:string,amount:long>>")
+    assert {r.id: r.error for r in C.message_errors(rows, "acc").collect()} == {2: "invalid address", 3: "invalid coins", 4: "invalid coins", 5: "invalid coins", 6: "invalid address"}
+    pairs = spark.createDataFrame([(bytearray(b"\x01abc"), bytearray(b"\x05")), (bytearray(b"\x03\xff"), bytearray(b"den")), (bytearray(b"\x09"), bytearray(b""))], "key binary, value binary")
+    assert sorted((r.kind, r.name, r.shown) for r in C.decode_pairs(pairs).collect()) == [("external_contract", "abc", "0x05"), ("reverse_denom", "0xff", "den"), ("unknown", "0x", "0x")]
+    versions = spark.createDataFrame([("a", 1), ("a", 2), ("a", 9), ("b", 3), ("c", 1), ("c", 8), ("c", 10)], "k string, version int")
+    kept = sorted(map(tuple, C.prune(versions, 3, ["k"]).collect()))
+    assert kept == [(k, v) for k, v in sorted([("a", 2), ("a", 9), ("b", 3), ("c", 1), ("c", 8), ("c", 10)])]
+    txs = spark.createDataFrame([(h, i) for h in range(5) for i in range(3)], "height int, index int")
+    assert [tuple(r) for r in C.search_txs(txs, F.col("height") > 0, page=2, per_page=2, descending=True).collect()] == [(4, 0), (3, 2)]
