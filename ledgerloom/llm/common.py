@@ -13,6 +13,20 @@ MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 
 
+#: Bytes of an Arrow batch on its way to a Python worker; a batch is held there some four times over.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches to ``BATCH_BYTES``, whatever rows they have; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None) or ""
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    value = int(now.rstrip("bB")) if now.rstrip("bB").lstrip("-").isdigit() else int(now[:-1]) * units[now[-1].lower()] if now[:-1].isdigit() else -1
+    if not 0 < value <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,6 +48,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
+        small_batches(spark)
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -56,13 +71,39 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_held: dict[str, list] = {}  # per worker process: what an operator keeps between tasks
+
+
+def held(owner: str, make) -> object:
+    """What ``owner`` keeps in this worker process, made at first. Other operators' caches go: workers are reused."""
+    if owner not in _held:
+        _held.clear()
+        _held[owner] = [make()]
+    return _held[owner][0]
+
+
+def release() -> None:
+    """Give back what a task held: idle workers stay for a while, beside those of the next stage."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Memo(dict):
     """What ``make`` gives for a key, kept in two generations of at most ``LIMIT`` keys.
 
     When the young one is full it becomes the old one, so frequent keys stay and memory is bounded.
     """
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __init__(self) -> None:
         super().__init__()

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, release
 
 WINDOW = 32
 STEP = WINDOW // 2
@@ -178,6 +178,7 @@ def _idf(numbered: DataFrame, size: int) -> tuple[int, np.ndarray]:
                 total += int(w.starts[-1]) // 2
         some = np.flatnonzero(df)
         yield pd.DataFrame({"v": np.append(some, -1).astype(np.int64), "df": np.append(df[some], total)})
+        release()
 
     rows = numbered.select("words").mapInPandas(count, "v long, df long").groupBy("v").agg(F.sum("df").alias("df")).collect()  # a row per word of the block
     found = {r["v"]: r["df"] for r in rows}
@@ -211,6 +212,7 @@ def _moment(numbered: DataFrame, block: Block, omega: np.ndarray) -> np.ndarray:
         salt = TaskContext.get().partitionId() % 16
         stripes = range(0, size, STRIPE)
         yield pd.DataFrame({"stripe": [s // STRIPE for s in stripes], "salt": salt, "part": [out[s : s + STRIPE].tobytes() for s in stripes]})
+        release()
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(p) for p in pdf["part"])
@@ -347,6 +349,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
                 hits = search(shared.value, _unpack(pdf["words"]))
                 out = [(i, v, *h.values()) for i, v, found in zip(pdf["doc_id"], pdf["version"], hits) for h in found]
                 yield pd.DataFrame(out, columns=["doc_id", "version", "item_id", "cosine", "lcs", "answer", "first_word", "last_word"]).astype({"doc_id": "Int64"})
+            release()
 
         found = found.union(numbered.mapInPandas(judge, f"doc_id long, version long, {HIT}"))
     return found

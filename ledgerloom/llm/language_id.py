@@ -19,19 +19,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import held, small_batches
+
 ORDER = 4
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 _letter = re.compile(r"[^\W\d_]")
-_class: list[np.ndarray] = []
-
 
 def _codes(text: str) -> np.ndarray:
     """Code points of the lower-cased letters, other runs as one space, a space at both ends."""
-    if not _class:
-        points = np.array([i if chr(i).isalpha() else 32 for i in range(0x110000)], np.uint32)
-        _class.append(points)
-    x = _class[0][np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), "<u4")]
+    letters = held("letters", lambda: np.array([i if chr(i).isalpha() else 32 for i in range(0x110000)], np.uint32))
+    x = letters[np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), "<u4")]
     other = x == 32
     keep = np.ones(len(x), bool)
     keep[1:] = ~(other[1:] & other[:-1])
@@ -111,7 +109,7 @@ def solve(sets: list[np.ndarray], labels: list[str], landmarks: int, ridge: floa
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     inner = gram[chosen]
     lhs = gram.T @ gram + ridge * len(sets) * inner + 1e-8 * len(sets) * np.eye(len(chosen))
-    return Model(languages, (marks @ np.linalg.solve(lhs, gram.T @ target)).astype(np.float32))
+    return Model(languages, marks @ np.linalg.solve(lhs, gram.T @ target).astype(np.float32))
 
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, landmarks: int = 256, ridge: float = 1e-4) -> Model:
@@ -125,12 +123,12 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return solve([], [], landmarks, ridge)
-    # A share of each language by hash, about three times what is used, then the lowest hashes.
+    # A share of each language by hash, about twice what is used, then the lowest hashes.
     share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 3.0 * per_language / n))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * per_language / n))).otherwise(share)
     drawn = rows.where(F.pmod("at", F.lit(1 << 24)) < share * (1 << 24)).where(F.col("text").rlike(r"\p{L}"))
-    drawn = drawn.orderBy("at").limit(3 * per_language * len(counts)).select("lang", F.pandas_udf(_packed, "binary")("text").alias("bits")).toPandas()
+    drawn = drawn.orderBy("at").limit(2 * per_language * len(counts)).select("lang", F.pandas_udf(_packed, "binary")("text").alias("bits")).toPandas()
     sets, labels, taken = [], [], dict.fromkeys(counts, 0)
     for lang, bits in zip(drawn["lang"], drawn["bits"]):
         if taken[lang] < per_language:
@@ -144,6 +142,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 
 def with_language(docs: DataFrame, model: Model, *, text_col: str = "text", into: str = "_language") -> DataFrame:
     """``docs`` with a struct column (lang_pred, score) predicted from the whole text alone."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
@@ -151,7 +150,7 @@ def with_language(docs: DataFrame, model: Model, *, text_col: str = "text", into
         names, scores = shared.value.score(list(text))
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    return docs.withColumn(into, predict(F.coalesce(F.col(text_col), F.lit(""))))
+    return docs.withColumn(into, predict(F.col(text_col)))
 
 
 def identify(docs: DataFrame, model: Model | None = None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fit) -> DataFrame:

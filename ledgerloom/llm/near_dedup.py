@@ -18,15 +18,14 @@ compared again, and no comparison that could link two components is left out.
 
 from __future__ import annotations
 
-import contextlib
 import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, Scratch, WordHashes, blocks_of, mix64
+from .common import GOLDEN, Scratch, WordHashes, blocks_of, held, mix64, release
 from .graph import components
 
 WORDS = 5
@@ -42,17 +41,14 @@ BLOCK = 400
 MAX_BROADCAST = 1_000_000
 
 SKETCH = "doc_id long, n long, digest binary, bands array<long>"
-_hashes: list[WordHashes] = []
-
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the 5-word shingles; fewer words are one shingle, no words none."""
-    if not _hashes:
-        _hashes.append(WordHashes())
+    hashes = held("word hashes", WordHashes)
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and white space only
     if not words:
         return np.zeros(0, np.uint64)
-    x = np.frombuffer(b"".join(map(_hashes[0].__getitem__, words)), np.uint64)
+    x = np.frombuffer(b"".join(map(hashes.__getitem__, words)), np.uint64)
     width = min(WORDS, len(x))
     h = np.full(len(x) - width + 1, width, np.uint64)
     with np.errstate(over="ignore"):
@@ -94,7 +90,7 @@ def band_keys(rows: np.ndarray) -> np.ndarray:
 def _sketches(batches):
     for pdf in batches:
         ids, texts = pdf["doc_id"].to_numpy(), pdf["text"].tolist()
-        for a, b in blocks_of(texts, 6_000_000):
+        for a, b in blocks_of(texts, 3_000_000):
             sets = [shingles(t) for t in texts[a:b]]
             some = [i for i, s in enumerate(sets) if len(s)]
             keys = band_keys(sketch([sets[i] for i in some])) if some else np.zeros((0, BANDS), np.int64)
@@ -103,6 +99,7 @@ def _sketches(batches):
                 bands[i] = k
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             yield pd.DataFrame({"doc_id": pd.array(ids[a:b], dtype="Int64"), "n": [len(s) for s in sets], "digest": digests, "bands": bands})
+    release()
 
 
 def _confirmed(batches):
@@ -118,26 +115,14 @@ def _confirmed(batches):
                 a.append(x)
                 b.append(y)
         yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-
-@contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """Arrow batches of fewer rows while texts travel in pairs."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+    release()
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole texts reach the similarity. ``texts`` has (doc_id, text)."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    with small_batches(pairs.sparkSession, 400):
-        return scratch.keep(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInPandas(_confirmed, "a long, b long"), name)
+    return scratch.keep(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInPandas(_confirmed, "a long, b long"), name)
 
 
 def _ratio_fits(n, m):

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, Scratch
+from .common import Memo, Scratch, held
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -43,7 +43,7 @@ class CoreIds(Memo):
     go to the merge table directly; anything else takes the whole tokenizer.
     """
 
-    LIMIT = 400_000
+    LIMIT = 80_000
     LETTERS = _byte_letters()
 
     def __init__(self, tokenizer_json: str) -> None:
@@ -73,7 +73,7 @@ class WordIds(Memo):
     so letters followed by such punctuation are looked up apart, and ASCII letters in lower case.
     """
 
-    LIMIT = 500_000
+    LIMIT = 220_000
     EDGE = re.compile(r"([^\W\d_]+)([!-&(-/:-;=-@\[-`{-~]+)")  # not < either: special tokens open with it
 
     def __init__(self, tokenizer_json: str) -> None:
@@ -83,21 +83,11 @@ class WordIds(Memo):
     def make(self, key: str) -> bytes:
         m = self.EDGE.fullmatch(key)
         if not m:
-            return self.core[key.lower() if key.isascii() and key.isalpha() else key]
+            return self.core.make(key)  # kept here under its own form
         word = m[1]
         return self.core[word.lower() if word.isascii() else word] + self.core[m[2]]
 
 
-_words: dict[int, WordIds] = {}  # per worker process
-
-
-def _lookup(tokenizer_json: str) -> WordIds:
-    key = zlib.crc32(tokenizer_json.encode())
-    if key not in _words:
-        _words[key] = WordIds(tokenizer_json)
-    return _words[key]
-
-
 def encode(text: str, ids: WordIds, end_id: int) -> bytes:
     """Ids of the whole text and the end id, as little-endian uint32 bytes."""
     words = text.replace("\n", " ").split(" ")
@@ -110,7 +100,7 @@ def pieces_of(docs: DataFrame, tokenizer_json: str, capacity: int, end_id: int,
     def cut(batches):
         from pyspark import TaskContext
 
-        ids = _lookup(shared.value)
+        ids = held(f"words of {zlib.crc32(shared.value.encode())}", lambda: WordIds(shared.value))
         task = TaskContext.get().partitionId()
         n, step = 0, 4 * capacity
         for pdf in batches:
