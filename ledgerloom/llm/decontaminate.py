@@ -28,7 +28,6 @@ WINDOW = 32
 STEP = WINDOW // 2
 BLOCK = 2000
 RANK, OVERSAMPLE = 128, 16
-COMMON = 0.05  # words in more passages than this share weigh nothing
 COSINE = 0.45
 WHOLE, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 STRIPE = 64  # vocabulary rows that are summed together
@@ -76,7 +75,7 @@ class Block:
     item_ids: list[int]
     items: list[list[int]]
     vocabulary: dict[bytes, int]
-    weight: np.ndarray | None = None  # idf, 0 for common words
+    weight: np.ndarray | None = None  # smoothed idf, never 0
     basis: np.ndarray | None = None  # words x rank, rows scaled by weight
     latent: np.ndarray | None = None  # items x rank, unit rows
     masks: list = field(default_factory=list)
@@ -104,15 +103,15 @@ class Block:
 
 @dataclass
 class Windows:
-    """Weighted words of several texts, by passage block of ``STEP`` words."""
+    """Vocabulary words of several texts, by passage block of ``STEP`` words."""
 
     words: list[np.ndarray]  # per text, -1 outside the vocabulary
-    v: np.ndarray  # vocabulary numbers of the weighted words
+    v: np.ndarray  # vocabulary numbers of the words in it
     at: np.ndarray  # their blocks
     starts: np.ndarray  # first block of each text, and the number of blocks
 
 
-def windows_of(words: list[np.ndarray], weight: np.ndarray | None) -> Windows:
+def windows_of(words: list[np.ndarray]) -> Windows:
     sizes = np.array([2 * max(1, -(-len(w) // WINDOW)) for w in words], np.int64)  # even: no passage spans two texts
     starts = np.concatenate([[0], np.cumsum(sizes)])
     x = np.concatenate(words) if words else np.zeros(0, np.int32)
@@ -120,8 +119,6 @@ def windows_of(words: list[np.ndarray], weight: np.ndarray | None) -> Windows:
     place = np.arange(len(x)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     at = np.repeat(starts[:-1], lengths) + place // STEP
     keep = x >= 0
-    if weight is not None:
-        keep &= weight[np.where(x >= 0, x, 0)] > 0
     return Windows(words, x[keep], at[keep], starts)
 
 
@@ -172,7 +169,7 @@ def _idf(numbered: DataFrame, size: int) -> tuple[int, np.ndarray]:
         for pdf in batches:
             words = _unpack(pdf["words"])
             for a, b in _parts(words):
-                w = windows_of(words[a:b], None)
+                w = windows_of(words[a:b])
                 key = np.sort((w.at // 2) * size + w.v)
                 df += np.bincount(key[np.diff(key, prepend=-1) != 0] % size, minlength=size)
                 total += int(w.starts[-1]) // 2
@@ -198,7 +195,7 @@ def _moment(numbered: DataFrame, block: Block, omega: np.ndarray) -> np.ndarray:
         for pdf in batches:
             words = _unpack(pdf["words"])
             for a, b in _parts(words):
-                w = windows_of(words[a:b], weight)
+                w = windows_of(words[a:b])
                 if not len(w.v):
                     continue
                 passage = w.at // 2
@@ -243,7 +240,7 @@ def fit(block: Block, numbered: DataFrame, *, rank: int = RANK, seed: int = 7) -
     """idf over all passages of ``numbered`` (words), randomised SVD, and the items' latent vectors."""
     items, size = block.items, len(block.vocabulary)
     total, df = _idf(numbered, size)
-    block.weight = np.where(df <= max(COMMON * total, 1), np.log((1 + total) / (1 + df)) + 1, 0.0)
+    block.weight = np.log((1 + total) / (1 + df)) + 1  # at least 1: a leak may make all of an item's words common
     item_rows = np.zeros((len(items), size))
     for k, words in enumerate(items):
         np.add.at(item_rows[k], words, block.weight[words])
@@ -279,7 +276,7 @@ def search(block: Block, words: list[np.ndarray]) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in words]
     need = np.array(block.need, np.float32)
     for lo, hi in _parts(words):
-        w = windows_of(words[lo:hi], block.weight)
+        w = windows_of(words[lo:hi])
         if not len(w.v):
             continue
         own = np.bincount(w.at, block.weight[w.v] ** 2, int(w.starts[-1]))

@@ -86,6 +86,21 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(docs, benchmark.where("false")).count() == 0
 
 
+def leaks(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect())
+
+
+def test_an_item_that_leaks_often_is_found_in_every_row(spark):
+    item = " ".join(words(500, 20))
+    text = lambda seed, n: " ".join(words(1000 + seed, n))
+    assert leaks(spark, [(0, text(0, 9) + " " + item), (1, item + " " + text(1, 30)), (2, text(2, 40))], [(7, item)]) == [(0, 7), (1, 7)]
+    items = [(7, item), *((k, text(300 + k, 25)) for k in range(20, 40))]
+    rows = [(i, f"{text(i, 40)} {item} {text(400 + i, 40)}" if i % 3 == 0 else text(i, 100)) for i in range(90)]
+    rows += [(200, text(900, 30) + " " + items[4][1])]
+    assert leaks(spark, rows, items) == [(i, 7) for i in range(0, 90, 3)] + [(200, items[4][0])]
+
+
 def test_lcs_is_exact():
     rng = random.Random(6)
     for _ in range(100):
