@@ -6,6 +6,8 @@ randomised SVD of the passages and items (one distributed pass: each task adds u
 the parts are summed in two levels, Nyström's formula gives the basis) spans the latent space. Passages whose
 latent cosine to an item is at least ``COSINE`` are candidates. A candidate is confirmed by the longest common
 subsequence of the item and the words around the passage, and, for paraphrases, of the item's last part (its answer).
+Before that, item words around the passage are counted: no subsequence is longer than their number, so a candidate
+with too few of them (``may_hold``) is one that the confirmation would refuse.
 
 The benchmark is taken in blocks of ``BLOCK`` items; a block's vocabulary, idf and basis are what is broadcast. Texts
 are split once per block into vocabulary numbers, which the three passes read; nothing is shuffled but the sums.
@@ -28,11 +30,10 @@ WINDOW = 32
 STEP = WINDOW // 2
 BLOCK = 2000
 RANK, OVERSAMPLE = 128, 16
-COSINE = 0.45
+COSINE = 0.35
 WHOLE, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 STRIPE = 64  # vocabulary rows that are summed together
 
-CONTAINED = 0.4  # of an item's squared weight, that a candidate passage holds (of what fits a passage)
 MAX_BROADCAST = 1_000_000  # contaminated rows whose ids are broadcast; more are joined by shuffle
 
 HIT = "item_id long, cosine double, lcs double, answer double, first_word int, last_word int"
@@ -56,8 +57,9 @@ def lcs(masks: dict[int, int], n: int, words) -> int:
     full = (1 << n) - 1
     v = full
     for w in words:
-        u = v & masks.get(w, 0)
-        v = ((v + u) | (v - u)) & full
+        if w in masks:
+            u = v & masks[w]
+            v = ((v + u) | (v - u)) & full
     return n - v.bit_count()
 
 
@@ -79,8 +81,7 @@ class Block:
     basis: np.ndarray | None = None  # words x rank, rows scaled by weight
     latent: np.ndarray | None = None  # items x rank, unit rows
     masks: list = field(default_factory=list)
-    within: np.ndarray | None = None  # items x words
-    need: list = field(default_factory=list)  # what a passage must hold of each item
+    within: np.ndarray | None = None  # words x items, 1 for an item's words; the last row is for words outside
 
     def confirm(self, words: np.ndarray, k: int, a: int, b: int):
         """(lcs, answer, first, last) of item ``k`` in the words around ``a:b``, or None."""
@@ -261,48 +262,81 @@ def fit(block: Block, numbered: DataFrame, *, rank: int = RANK, seed: int = 7) -
     norm = np.linalg.norm(latent, axis=1, keepdims=True)
     block.latent = (latent / np.where(norm > 0, norm, 1)).astype(np.float32)
     block.basis = (basis * block.weight[:, None]).astype(np.float32)
-    block.within = np.zeros((len(items), size + 1), np.float32)  # squared weight of the item's words; the last column is for words outside
+    block.within = np.zeros((size + 1, len(items)), np.uint8)
     for k, words in enumerate(items):
-        block.within[k, words] = block.weight[words] ** 2
-        block.need.append(CONTAINED * float(sum(block.weight[words] ** 2)) * min(1.0, WINDOW / len(words)))
+        block.within[words, k] = 1
     for words in items:
         tail = words[-max(4, len(words) // 4) :]
         block.masks.append((_masks(words), _masks(tail), len(tail)))
     return block
 
 
+def _most(sums: np.ndarray, column: np.ndarray, start: np.ndarray, stop: np.ndarray, span: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Largest growth of the running ``sums`` in ``column`` over ``span`` rows, begun every ``step`` from ``start`` to before ``stop``."""
+    most, at = np.zeros(len(start), np.int32), start.copy()
+    while (live := at < stop).any():
+        grown = sums[np.minimum(at + span, stop), column] - sums[np.minimum(at, stop), column]
+        most = np.where(live, np.maximum(most, grown), most)
+        at = at + step
+    return most
+
+
+def may_hold(block: Block, w: Windows, first: np.ndarray, owner: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Whether some part that ``confirm`` aligns, at passages ``first`` of texts ``owner``, has ``PARAPHRASE`` of ``items`` in item words.
+
+    Counted over whole blocks that cover a part at first, then word by word. Words count as often as they occur.
+    """
+    n = np.array([len(i) for i in block.items])[items]
+    need, span = np.ceil(PARAPHRASE * n - 1e-6), n + n // 2
+    # blocks: a part of ``span`` words touches ``cover`` of them, its region ``side`` more on each side
+    cover, side = (np.maximum(span, 2) - 2) // STEP + 2, -(-n // STEP)
+    low, high = np.maximum(first - side, w.starts[owner]), np.minimum(first + 2 + side, w.starts[owner + 1])
+    base, end = int(low.min()), int(high.max())
+    i, j = np.searchsorted(w.at, [base, end])
+    counts = _by_block(Windows([], w.v[i:j], w.at[i:j] - base, np.array([0, end - base])), block.within)
+    sums = np.zeros((end - base + 1, len(block.items)), np.int32)
+    np.cumsum(counts[:-1], axis=0, out=sums[1:], dtype=np.int32)
+    fits = _most(sums, items, low - base, high - base, cover, np.ones_like(n)) >= need
+    # words
+    some = np.flatnonzero(fits)
+    lengths = np.array([len(x) for x in w.words])
+    texts, begins = np.concatenate(w.words), np.cumsum(lengths) - lengths
+    a = (first - w.starts[owner]) * STEP
+    low, high = np.maximum(0, a - n), np.minimum(lengths[owner], a + WINDOW + n)
+    width = int((high - low)[some].max()) if len(some) else 0
+    most = max(1, 2_000_000 // max(1, width))
+    for c in range(0, len(some), most):
+        at = some[c : c + most]
+        places = low[at, None] + np.arange(width)
+        inside = places < high[at, None]
+        held = texts[np.where(inside, places + begins[owner[at], None], 0)]
+        sums = np.zeros((len(at), width + 1), np.int32)
+        np.cumsum((block.within[held, items[at, None]] > 0) & inside, axis=1, out=sums[:, 1:])
+        fits[at] = _most(sums.T, np.arange(len(at)), np.zeros(len(at), np.int64), (high - low)[at], span[at], np.maximum(1, n // 4)[at]) >= need[at]
+    return fits
+
+
 def search(block: Block, words: list[np.ndarray]) -> list[list[dict]]:
     """Confirmed items of each whole text, given as vocabulary numbers."""
     out: list[list[dict]] = [[] for _ in words]
-    need = np.array(block.need, np.float32)
     for lo, hi in _parts(words):
         w = windows_of(words[lo:hi])
         if not len(w.v):
             continue
-        own = np.bincount(w.at, block.weight[w.v] ** 2, int(w.starts[-1]))
         first, owner = _pairs_of_blocks(w)
-        some = np.flatnonzero(own[first] + own[first + 1] >= need.min())  # the others hold too little of any item
         sums = _by_block(w, block.basis)
-        for a in range(0, len(some), 8192):
-            at = some[a : a + 8192]
-            p = sums[first[at]] + sums[first[at] + 1]
+        some = max(256, 2_000_000 // len(block.items))
+        for a in range(0, len(first), some):
+            at, text_of = first[a : a + some], owner[a : a + some]
+            p = sums[at] + sums[at + 1]
             p /= np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
             rows, cols = np.nonzero(p @ block.latent.T >= COSINE)
             if not len(rows):
                 continue
-            near, at_rows = np.unique(rows, return_inverse=True)
-            held = np.full((len(near), WINDOW), -1, np.int32)
-            for i, r in enumerate(at[near]):
-                t = owner[r]
-                start = int(first[r] - w.starts[t]) * STEP
-                part = w.words[t][start : start + WINDOW]
-                held[i, : len(part)] = part
-            holds = np.zeros(len(rows), np.float32)
-            for c in range(WINDOW):
-                holds += block.within[cols, held[at_rows, c]]
-            for r, k in zip(rows[holds >= need[cols]].tolist(), cols[holds >= need[cols]].tolist()):
-                text = int(owner[at[r]])
-                start = int(first[at[r]] - w.starts[text]) * STEP
+            fits = may_hold(block, w, at[rows], text_of[rows], cols)
+            for r, k in zip(rows[fits].tolist(), cols[fits].tolist()):
+                text = int(text_of[r])
+                start = int(at[r] - w.starts[text]) * STEP
                 hit = block.confirm(w.words[text], k, start, start + WINDOW)
                 if hit:
                     cosine = float(p[r] @ block.latent[k])

@@ -101,6 +101,44 @@ def test_an_item_that_leaks_often_is_found_in_every_row(spark):
     assert leaks(spark, rows, items) == [(i, 7) for i in range(0, 90, 3)] + [(200, items[4][0])]
 
 
+def test_paraphrases_without_an_items_rarest_words(spark):
+    """12 of an item's 32 words, its rarest, are replaced: the others have a quarter of its squared weight."""
+    rng = random.Random(9)
+    items, leaked = [], []
+    for k in range(12):
+        rare, usual = words(2000 + k, 12), [rng.choice(words(3000 + k % 3, 18)) for _ in range(12)]
+        body = [w for pair in zip(rare, usual) for w in pair]
+        tail = rng.sample(words(3000 + k % 3, 18), 8)
+        items.append((k, " ".join(body + tail)))
+        leaked.append((k, " ".join(words(5000 + k, 60) + ["other" if w in rare else w for w in body] + tail + words(6000 + k, 60))))
+    rows = leaked + [(100 + i, " ".join(words(7000 + i, 40) + words(3000 + i % 3, 18) + words(8000 + i, 40))) for i in range(60)]
+    assert leaks(spark, rows, items) == [(k, k) for k in range(12)]
+
+
+def test_no_pair_that_would_be_confirmed_is_refused_before():
+    rng = random.Random(4)
+    items = [[rng.choice("abcdefghijklmnop") for _ in range(n)] for n in (1, 2, 5, 9, 17, 33, 50, 90)]
+    block = decontaminate.vocabulary_of(list(range(len(items))), [" ".join(i) for i in items])
+    block.within = np.zeros((len(block.vocabulary) + 1, len(items)), np.uint8)
+    for k, numbers in enumerate(block.items):
+        block.within[numbers, k] = 1
+        block.masks.append((decontaminate._masks(numbers), decontaminate._masks(numbers[-4:]), len(numbers[-4:])))
+    for item in items:
+        texts = []
+        for _ in range(20):
+            kept = [w for w in item if rng.random() > 0.3]
+            around = lambda: [rng.choice("abxyz") for _ in range(rng.randrange(80))]
+            texts.append(decontaminate.numbers_of(" ".join(around() + kept + around()), block.vocabulary))
+        w = decontaminate.windows_of(texts)
+        first, owner = decontaminate._pairs_of_blocks(w)
+        first, owner, cols = np.repeat(first, len(items)), np.repeat(owner, len(items)), np.tile(np.arange(len(items)), len(first))
+        fits = decontaminate.may_hold(block, w, first, owner, cols)
+        for f, t, k, fit in zip(first, owner, cols, fits):
+            start = int(f - w.starts[t]) * decontaminate.STEP
+            assert fit or not block.confirm(w.words[t], k, start, start + decontaminate.WINDOW)
+        assert not fits.all()
+
+
 def test_lcs_is_exact():
     rng = random.Random(6)
     for _ in range(100):
