@@ -41,13 +41,22 @@ def mappings_of_kind(spark, sf_dir):
     return K.of_kind(_mappings(spark, sf_dir), "auto")
 
 
-def positional_left_lookup(spark, sf_dir):
-    """Names of a list of keys per order status: order and duplicates stay, unknown keys are ''."""
-    asked = table(spark, sf_dir, "orders").where("o_orderkey <= 300").select("o_orderkey", F.array(F.col("o_custkey"), F.col("o_custkey") + 1_000_000, F.col("o_custkey"), F.col("o_orderkey")).alias("addresses"))
+def _positional_lookup(spark, sf_dir, orders):
+    asked = orders.select("o_orderkey", F.array(F.col("o_custkey"), F.col("o_custkey") + 1_000_000, F.col("o_custkey"), F.col("o_orderkey")).alias("addresses"))
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("address"), F.col("c_name").alias("key"))
     return K.keys_for(F.col("addresses"), asked, keys, "o_orderkey")
 
 
+def positional_left_lookup(spark, sf_dir):
+    """Names of a list of keys per order status: order and duplicates stay, unknown keys are ''."""
+    return _positional_lookup(spark, sf_dir, table(spark, sf_dir, "orders").where("o_orderkey <= 300"))
+
+
+def positional_left_lookup_all(spark, sf_dir):
+    """``positional_left_lookup`` for every order."""
+    return _positional_lookup(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
 def validators_with_keys(spark, sf_dir):
     validators = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("address"), F.col("s_nationkey").alias("power"))
     keys = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("address"), F.col("c_name").alias("key"))
@@ -148,9 +157,18 @@ def fee_bump(spark, sf_dir):
     return parts.select("p_partkey", B.replaces(F.col("old"), F.col("new"), 10).alias("replaces"))
 
 
+def _mempool(orders):
+    txs = orders.select(F.col("o_custkey").alias("sender"), F.col("o_orderkey").alias("nonce"), F.floor("o_totalprice").cast("long").alias("priority"))
+    return B.mempool_order(txs).select("sender", "nonce", "effective")
+
+
 def mempool_order(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_custkey <= 50").select(F.col("o_custkey").alias("sender"), F.col("o_orderkey").alias("nonce"), F.floor("o_totalprice").cast("long").alias("priority"))
-    return B.mempool_order(orders).select("sender", "nonce", "effective")
+    return _mempool(table(spark, sf_dir, "orders").where("o_custkey <= 50"))
+
+
+def mempool_order_all(spark, sf_dir):
+    """``mempool_order`` of every sender."""
+    return _mempool(table(spark, sf_dir, "orders"))
 
 
 def fork_at(spark, sf_dir):
@@ -216,9 +234,9 @@ def gas_required(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    denom_lookup_preferred, reverse_lookup, mappings_of_kind, positional_left_lookup, validators_with_keys, permission_mask, any_permission, upsert_last_wins, migration_default,
+    denom_lookup_preferred, reverse_lookup, mappings_of_kind, positional_left_lookup, positional_left_lookup_all, validators_with_keys, permission_mask, any_permission, upsert_last_wins, migration_default,
     state_as_of, changeset_fold, version_intervals, blocklist_semi, blocklist_anti, blocklist_except, proposal_filter, block_accept, block_all_valid, blocklist_digest, fee_bump,
-    mempool_order, fork_at, scale_amounts, coin_merge, coins_parse, token_balances, overdrawn_operations, denom_kinds, gas_required,
+    mempool_order, mempool_order_all, fork_at, scale_amounts, coin_merge, coins_parse, token_balances, overdrawn_operations, denom_kinds, gas_required,
 )} | {"snake_case": snake_case_names}
 
 _PROPOSALS_SQL = """

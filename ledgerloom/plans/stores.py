@@ -121,14 +121,23 @@ def patch_three_pass(spark, sf_dir):
     return tag(first, "o_orderkey", "height").unionByName(tag(second, "c_custkey", "result")).unionByName(tag(third, "n_nationkey", "eth_event"))
 
 
-def prefix_range_join(spark, sf_dir):
-    """Events of a transaction by hash, height and an index that starts with its own."""
-    line = table(spark, sf_dir, "lineitem").where("l_orderkey <= 2000").select("l_orderkey", F.col("l_suppkey").alias("idx")).distinct()
+def _prefix_join(lines):
+    line = lines.select("l_orderkey", F.col("l_suppkey").alias("idx")).distinct()
     tx = line.where("idx < 10")
     met = line.alias("e").join(tx.alias("t"), F.col("e.l_orderkey") == F.col("t.l_orderkey")).where(F.col("e.idx").cast("string").startswith(F.col("t.idx").cast("string")))
     return met.select(F.col("t.l_orderkey").alias("height"), F.col("t.idx").alias("tx_index"), F.col("e.idx").alias("event_index"))
 
 
+def prefix_range_join(spark, sf_dir):
+    """Events of a transaction by hash, height and an index that starts with its own."""
+    return _prefix_join(table(spark, sf_dir, "lineitem").where("l_orderkey <= 2000"))
+
+
+def prefix_range_join_all(spark, sf_dir):
+    """``prefix_range_join`` of every order."""
+    return _prefix_join(table(spark, sf_dir, "lineitem"))
+
+
 def point_get(spark, sf_dir):
     wanted = table(spark, sf_dir, "orders").where("o_orderkey % 1000 = 7").select(F.col("o_orderkey").alias("key"))
     store = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus")
@@ -160,7 +169,7 @@ def rollback_version(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     kv_full_scan_count, kv_prefix_scan, height_extract, tx_key_parse, height_range_filter, height_in_list, height_open_ended, height_missing_policy,
-    lexical_vs_numeric_order, migrate_verify, migrate_classes, patch_skip, patch_replace, patch_three_pass, prefix_range_join, point_get, total_stats,
+    lexical_vs_numeric_order, migrate_verify, migrate_classes, patch_skip, patch_replace, patch_three_pass, prefix_range_join, prefix_range_join_all, point_get, total_stats,
     progress_ratio, hash_validate, rollback_version,
 )}
 

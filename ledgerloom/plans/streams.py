@@ -55,20 +55,31 @@ def stream_idle_detector(spark, sf_dir):
     return out.where("not halted").select("chain", "height", "empty_run", "idle")
 
 
-def poll_filter_changes(spark, sf_dir):
-    """What a filter's second poll delivers after new files came, beside its first."""
+def _polls(spark, rows, first_id, second_id):
+    """Click events of two polls, one after each id; those up to the first id are there before the filter."""
     work = _work(spark)
-    rows = table(spark, sf_dir, "events")
     path = f"{work}/input"
-    rows.where("event_id <= 100").coalesce(1).write.parquet(path)
+    rows.where(F.col("event_id") <= first_id).coalesce(1).write.parquet(path)
     filters = T.PollingFilters(spark, f"{work}/filters", lambda: T.read_stream(spark, path, rows.schema), lambda: spark.read.schema(rows.schema).parquet(path))
     which = filters.install(lambda s: s.where("event_type = 'click'").select("event_id"))
-    rows.where("event_id > 100 and event_id <= 900").coalesce(2).write.mode("append").parquet(path)
+    rows.where((F.col("event_id") > first_id) & (F.col("event_id") <= second_id)).coalesce(2).write.mode("append").parquet(path)
     first = filters.changes(which).withColumn("poll", F.lit(1))
-    rows.where("event_id > 900 and event_id <= 2000").coalesce(2).write.mode("append").parquet(path)
+    rows.where(F.col("event_id") > second_id).coalesce(2).write.mode("append").parquet(path)
     return first.union(filters.changes(which).withColumn("poll", F.lit(2)))
 
 
+def poll_filter_changes(spark, sf_dir):
+    """What a filter's second poll delivers after new files came, beside its first."""
+    return _polls(spark, table(spark, sf_dir, "events").where("event_id <= 2000"), 100, 900)
+
+
+def poll_filter_changes_all(spark, sf_dir):
+    """``poll_filter_changes`` over all events: a twentieth is there before, the polls follow after the half and the rest."""
+    rows = table(spark, sf_dir, "events")
+    first, second = rows.agg(F.percentile("event_id", F.array(F.lit(0.05), F.lit(0.5)))).first()[0] or (0, 0)
+    return _polls(spark, rows, int(first), int(second))
+
+
 def stream_versions(spark, sf_dir):
     """Changes appended to a versioned table batch by batch, folded afterwards."""
     work = _work(spark)
@@ -78,7 +89,7 @@ def stream_versions(spark, sf_dir):
     return fold_changes(spark.read.schema(stream.schema).parquet(f"{work}/versions"), ["user_id"], ["version"]).select("user_id", "version", "event_type")
 
 
-QUERIES = {f.__name__: f for f in (stream_new_heads, stream_logs_filter, stream_idle_detector, poll_filter_changes, stream_versions)}
+QUERIES = {f.__name__: f for f in (stream_new_heads, stream_logs_filter, stream_idle_detector, poll_filter_changes, poll_filter_changes_all, stream_versions)}
 ORACLES = {
     "stream_new_heads": "SELECT event_id AS height FROM events",
     "stream_logs_filter": "SELECT event_id AS block, CAST(user_id AS VARCHAR) AS address FROM events WHERE user_id IN (1, 2, 3, 5, 8) AND event_type IN ('click', 'purchase')",

@@ -1,0 +1,54 @@
+"""Queries over whole tables whose twins cover a part only, against brute force."""
+
+import os
+
+import pandas as pd
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+def rows_of(name):
+    return pd.read_parquet(f"{SF}/{name}.parquet").to_dict("records")
+
+
+def run(spark, name):
+    from ledgerloom.plans.catalog import QUERIES
+
+    return QUERIES[name](spark, SF)
+
+
+def test_mempool_order_of_every_sender(spark):
+    least, want = {}, []
+    for o in sorted(rows_of("orders"), key=lambda o: o["o_orderkey"]):
+        least[o["o_custkey"]] = min(int(o["o_totalprice"] // 1), least.get(o["o_custkey"], 1 << 62))
+        want.append((-least[o["o_custkey"]], o["o_custkey"], o["o_orderkey"]))
+    assert max(least) > 50
+    assert [(-r.effective, r.sender, r.nonce) for r in run(spark, "mempool_order_all").collect()] == sorted(want)
+
+
+def test_positional_lookup_of_every_order(spark):
+    names = {c["c_custkey"]: c["c_name"] for c in rows_of("customer")}
+    orders = rows_of("orders")
+    want = [(o["o_orderkey"], i, a, names.get(a, "")) for o in orders for i, a in enumerate([o["o_custkey"], o["o_custkey"] + 1_000_000, o["o_custkey"], o["o_orderkey"]])]
+    assert max(o["o_orderkey"] for o in orders) > 300
+    assert sorted((r.o_orderkey, r.position, r.address, r.key) for r in run(spark, "positional_left_lookup_all").collect()) == sorted(want)
+
+
+def test_prefix_join_of_every_order(spark):
+    lines = {}
+    for x in rows_of("lineitem"):
+        lines.setdefault(x["l_orderkey"], set()).add(x["l_suppkey"])
+    want = [(k, t, e) for k, found in lines.items() for t in found if t < 10 for e in found if str(e).startswith(str(t))]
+    got = sorted((r.height, r.tx_index, r.event_index) for r in run(spark, "prefix_range_join_all").collect())
+    assert got == sorted(want)
+
+
+def test_polls_of_all_events(spark):
+    events = rows_of("events")
+    ids = sorted(e["event_id"] for e in events)
+    first, second = (pd.Series(ids).quantile(q) // 1 for q in (0.05, 0.5))
+    want = [(e["event_id"], 1 if e["event_id"] <= second else 2) for e in events if e["event_type"] == "click" and e["event_id"] > first]
+    assert sorted((r.event_id, r.poll) for r in run(spark, "poll_filter_changes_all").collect()) == sorted(want)
