@@ -3,7 +3,9 @@
 Vectors are scaled to unit length, so the cosine is an inner product. Coarse centroids and the residual
 codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector is indexed as its list and one byte
 per sub-space. A query scans its best lists (as many as hold ``target`` of the sample's true neighbours) with a table of sub-space products (asymmetric: the query
-is not quantised), the best ``rerank`` survivors are rescored on the original vectors in double precision.
+is not quantised), the best ``rerank`` survivors are rescored on the original vectors in double precision. Where that
+cut may have lost a neighbour (see ``_unsure``), as in a dense group whose members have the same codes, the query
+is scored exactly against all vectors.
 
 Lists are dealt into shards of about ``BLOCK`` codes, a longer list over several, and queries into blocks of as
 many; a shard scans all lists that a query probes in it and hands on its best ``rerank``. So a list with a third of
@@ -117,6 +119,36 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in column])
 
 
+def _unsure(scored: DataFrame, k: int, rerank: int) -> DataFrame:
+    """Queries of ``scored`` (query_id, id, near, score, full) whose k-th best may be beaten by what the cut dropped.
+
+    What was dropped has at most the quantised score of the last survivor. It is taken to be underrated by no more than
+    the survivors' mean and three of their standard deviations. A k-th best of 1 is only equalled, by copies with larger ids.
+    """
+    each = scored.groupBy("query_id").agg(F.max("full").alias("full"), F.min("near").alias("last"), F.avg(F.col("score") - F.col("near")).alias("error"), F.stddev_pop(F.col("score") - F.col("near")).alias("spread"), F.sort_array(F.collect_list("score"), asc=False).alias("best"))
+    kth = F.when(F.size("best") >= k, F.col("best")[k - 1])
+    return each.where(F.col("full") & F.coalesce((kth < 1 - 1e-12) & (F.col("last") + F.col("error") + 3 * F.col("spread") >= kth), F.lit(True))).select("query_id")
+
+
+def nearest_of_all(ids: np.ndarray, v: np.ndarray, asked: list, k: int, block: int = 128):
+    """(query, ids, scores) of the ``k`` nearest rows of a batch to each of ``asked`` (query, vector), by exact scores."""
+    most = (k + 1) * int(np.unique(ids, return_counts=True)[1].max())  # a repeated id counts once, the query's own not at all
+    size, rows = np.sqrt((v * v).sum(1)), unit(v)
+    for a in range(0, len(asked), block):
+        part = asked[a : a + block]
+        rough = unit(np.stack([q for _, q in part])) @ rows.T
+        least = np.partition(rough, len(ids) - most, axis=1)[:, len(ids) - most] if len(ids) > most else np.full(len(part), -np.inf)
+        for (query, q), near, bound in zip(part, rough, least):
+            some = np.flatnonzero(near >= bound - 1e-9)  # products of matrices round differently
+            score = (v[some] * q).sum(1) / (np.sqrt((q * q).sum()) * size[some])
+            order = np.lexsort((ids[some], -score))
+            some, score = some[order], score[order]
+            keep = ids[some] != query
+            some, score = some[keep], score[keep]
+            first = np.sort(np.unique(ids[some], return_index=True)[1])[:k]
+            yield query, ids[some[first]], score[first]
+
+
 def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
            target: float = 0.98, rerank: int = 200, scratch: Scratch | None = None) -> DataFrame:
     """The ``k`` nearest of each query by cosine: (query_id, rank, ``id_col``, score), nearest first, ties to smaller ids.
@@ -124,7 +156,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     ``queries`` are rows like ``vectors``; a row with the query's own id is no candidate. Null ids and vectors that
     are null, zero or have null or non-finite components take no part; neither do vectors whose length is
     not the most common one (the larger of equally common). Repeated ids count once with their best score. A query
-    with fewer than ``k`` candidates in its lists is rescored against all vectors, so it gets all there are.
+    with fewer than ``k`` candidates in its lists, or one that ``rerank`` survivors do not settle, is scored against
+    all vectors.
     Empty tables give no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
@@ -214,20 +247,24 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
 
     # A query has at most shards x rerank survivors.
     first = near.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "id"))).where(F.col("r") <= rerank)
-    pairs = scratch.keep(first.select("query_id", "id").distinct(), "survivors")
+    full = F.max(F.col("r") == rerank)
+    pairs = scratch.keep(first.groupBy("query_id", "id").agg(F.max("near").alias("near"), full.alias("full")), "survivors")
 
     def exact(batches):
         for pdf in batches:
             if len(pdf):
                 a, b = _matrix(pdf["q"]), _matrix(pdf["v"])
                 score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
-                yield pd.DataFrame({"query_id": pdf["query_id"], "id": pdf["id"], "score": score})
+                yield pd.DataFrame({"query_id": pdf["query_id"], "id": pdf["id"], "near": pdf["near"], "full": pdf["full"], "score": score})
 
-    scored = "query_id long, id long, score double"
     theirs = asked.dropDuplicates(["query_id"]).select("query_id", F.col("v").alias("q"))
-    found = pairs.join(rows, "id").join(theirs, "query_id").select("query_id", "id", "q", "v").mapInPandas(exact, scored)
+    met = pairs.join(rows, "id").join(theirs, "query_id").select("query_id", "id", "near", "full", "q", "v")
+    met = met.mapInPandas(exact, "query_id long, id long, near double, full boolean, score double")
+    met = scratch.keep(met.groupBy("query_id", "id").agg(F.max("near").alias("near"), F.max("full").alias("full"), F.max("score").alias("score")), "scored")
+    found = met.select("query_id", "id", "score")
     enough = min(k, total - 1)
-    short = theirs.join(pairs.groupBy("query_id").agg(F.count("*").alias("c")), "query_id", "left").where(F.coalesce("c", F.lit(0)) < enough)
+    few = theirs.join(pairs.groupBy("query_id").agg(F.count("*").alias("c")), "query_id", "left").where(F.coalesce("c", F.lit(0)) < enough).select("query_id")
+    short = theirs.join(few.union(_unsure(met, enough, rerank)).distinct(), "query_id", "left_semi")
     short = scratch.keep(short.select("query_id", "q"), "short")
     n_short = short.count()
     for b in range(math.ceil(n_short / 500)):  # a stated set, in blocks of about 500, against all rows
@@ -236,17 +273,12 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
 
         def all_rows(batches, held=held):
             for pdf in batches:
-                if not len(pdf):
-                    continue
-                v, ids = _matrix(pdf["v"]), pdf["id"].to_numpy()
-                for query, q in held.value:
-                    score = (v * q).sum(1) / (np.sqrt((q * q).sum()) * np.sqrt((v * v).sum(1)))
-                    some = np.lexsort((ids, -score))
-                    some = some[ids[some] != query]
-                    some = some[np.sort(np.unique(ids[some], return_index=True)[1])][:k]
-                    yield pd.DataFrame({"query_id": query, "id": ids[some], "score": score[some]})
-
-        found = found.union(rows.mapInPandas(all_rows, scored))
+                if len(pdf):
+                    out = list(nearest_of_all(pdf["id"].to_numpy(), _matrix(pdf["v"]), held.value, k))
+                    if out:
+                        yield pd.DataFrame({"query_id": np.repeat([q for q, _, _ in out], [len(x) for _, x, _ in out]), "id": np.concatenate([x for _, x, _ in out]), "score": np.concatenate([x for _, _, x in out])})
+
+        found = found.union(rows.mapInPandas(all_rows, "query_id long, id long, score double"))
     best = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).cast("int")
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

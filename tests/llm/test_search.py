@@ -44,6 +44,20 @@ def test_neighbours_recall_and_odd_rows(spark):
     assert got[0] == [2000, 2001, 2002, 2003, 2004]
 
 
+def test_neighbours_in_a_group_of_thousands_of_near_copies(spark):
+    rng = np.random.default_rng(3)
+    center = rng.normal(size=16)
+    rows = [(i, [float(x) for x in (center + 0.02 * rng.normal(size=16) if i % 3 == 0 else rng.normal(size=16))]) for i in range(7500)]
+    frame = vectors(spark, rows)
+    got = {}
+    for r in ann.search(frame, frame.where("vec_id % 150 = 0 or vec_id % 150 = 1")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    near = exact(rows, range(0, 7500, 150))
+    assert all(got[q] == near[q] for q in near)
+    others = exact(rows, range(1, 7500, 150))
+    assert np.mean([len(set(got[q]) & set(others[q])) / 5 for q in others]) >= 0.9
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_neighbours_in_tiny_tables(spark, n):
     rows = [(i, [float(i + 1), 1.0]) for i in range(n)]
