@@ -18,14 +18,17 @@ from ledgerloom.llm.near_dedup import near_duplicates
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.queries import tokenizer_path
 
-#: A text below this score is claimed by no language's classifier, not even weakly.
-LEAST_SCORE = 0.25
+#: Below this score every classifier's value is negative: all of them disown the text.
+LEAST_SCORE = 0.5
+#: Texts with fewer letters stay whatever their score: clean ones of a few words score as low as foreign ones.
+LEAST_LETTERS = 200
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter (null and empty ones too) and texts that every classifier disowns."""
+    """Rejects texts without a letter (null and empty ones too) and texts of some length that every classifier disowns."""
     scored = with_language(docs, train(docs))
-    return scored.where((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    short = F.length(F.regexp_replace("text", r"\P{L}+", "")) < LEAST_LETTERS
+    return scored.where((F.col("_language.lang_pred") != UNKNOWN) & ((F.col("_language.score") >= LEAST_SCORE) | short)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
