@@ -33,7 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies lose the lines they share with earlier documents; a document of which nothing is left goes."""
-    cut = dedup_lines(docs)
+    cut = dedup_lines(docs, all_common=True)
     kept = cut.where(F.col("_cut").isNull() | (F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0))
     length = F.when(F.col("_cut").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.select(*[length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])

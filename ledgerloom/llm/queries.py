@@ -24,7 +24,7 @@ def tokenizer_path() -> str:
 
 
 def op1_patience_line_dedup(spark, sf_dir):
-    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), all_common=True)
     span = F.transform("_cut.spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return cut.select(
         "doc_id", "text", F.coalesce("_cut.lines", F.lit(0)).alias("cut_lines"), F.coalesce("_cut.words", F.lit(0)).alias("cut_words"),

@@ -26,6 +26,15 @@ def longest(a, b):
     return best[-1][-1]
 
 
+def test_a_repeated_block_goes_whole_although_its_frequent_lines_stood_earlier_elsewhere(spark):
+    line = lambda k: " ".join(f"w{k}n{i}" for i in range(20))
+    p, q, r, x, y = line(1), line(2), line(3), "short line", "other line"
+    rows = [(1, f"{y}\n{x}"), (2, "\n".join([p, x, q, x, r])), (3, "\n".join([p, x, q, x, r])), (4, "\n".join([line(4), x, line(5), y, line(6)])), (5, "\n".join(["own", line(4), x, line(5), y, line(6)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, all_common=True).collect()}
+    assert got == dict(rows) | {3: "", 5: "own"}
+
+
 def test_patience_aligns_in_order_and_finds_unique_lines():
     rng = random.Random(2)
     for _ in range(200):
