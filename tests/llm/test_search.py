@@ -206,6 +206,14 @@ def test_pages_without_a_container_lose_the_template():
     assert html_extract.extract(pages[2], wrapper) == "Story 2\nBody 2"
 
 
+def test_copies_of_a_hosts_pages_do_not_keep_it_from_a_wrapper(spark):
+    pages = [f"<html><body><div>Site name</div><div><a href=/>Home</a></div><div>Story {k}</div><p>Body {k}</p><div>All rights</div></body></html>" for k in range(6)]
+    frame = spark.createDataFrame([(k, f"http://h.org/{k}", html) for k, html in enumerate(pages)], "page_id long, url string, html string")
+    copies = frame.crossJoin(spark.range(3000).select()).union(frame)
+    got = html_extract.extract_main(copies).groupBy("page_id", "text").count().collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(k, f"Story {k}\nBody {k}") for k in range(6)]
+
+
 @pytest.mark.parametrize("html", ["<", "<p", "<a href='x", "</p></p>", "<p>&#xZZ; &nosuch; &lt;b&gt;", "<!-- open", "<script>never closed", "<li><li><li>", "<p>" * 3000, "<div>" * 3000, "< notag >"])
 def test_broken_html_does_not_fail(html):
     html_extract.extract(html, None)
