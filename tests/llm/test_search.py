@@ -223,18 +223,6 @@ def test_broken_html_does_not_fail(html):
 # ------------------------------------------------------------------ pipeline
 
 
-def test_language_stage_drops_what_no_classifier_claims(spark):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    rng = random.Random(12)
-    pool = {lang: [w + end for w in words(k, 300)] for k, (lang, end) in enumerate({"en": "ing", "fr": "eaux", "de": "ung", "es": "ción"}.items())}
-    text = lambda lang, n: " ".join(rng.choice(pool[lang]) for _ in range(n))
-    other = lambda a, b: " ".join("".join(chr(rng.randrange(a, b)) for _ in range(6)) for _ in range(150))
-    clean = [(i, text(lang, 3 + i % 90), lang) for i in range(400) for lang in [list(pool)[i % 4]]]
-    unlike = [(1000 + i, t, None) for i, t in enumerate([other(0x430, 0x450), other(0x3B1, 0x3C9), other(0x4E00, 0x9000), other(ord("a"), ord("z") + 1), other(ord("k"), ord("z") + 1)])]
-    docs = spark.createDataFrame(clean + unlike, "doc_id long, text string, lang string")
-    assert sorted(r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()) == [i for i, _, _ in clean]
-
-
 def test_pipeline_stages(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(11)
