@@ -31,14 +31,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a table. They go by Arrow: a list would start Python workers that then idle."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kind = StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kind.names, r)) for r in rows], schema=to_arrow_schema(kind)), kind)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so; Spark's names ignore case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests, a laptop) a folder under the warehouse is used.
+    Where the session names none, a folder under the warehouse is used on a local master only; elsewhere that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     return f"{warehouse}/_scratch"
 

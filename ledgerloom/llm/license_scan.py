@@ -1,7 +1,11 @@
 """License scans: canonical digest lookup of entire texts.
 
-A text is brought to a canonical form (case, copyright lines, equivalent spellings, punctuation and white
-space), and the SHA-256 of the form is joined with the digests of known licences. Native expressions only.
+A text is brought to a canonical form: case, copyright lines, list markers, equivalent spellings, punctuation of any
+script and white space. The SHA-256 of the form is joined with the digests of known licences, which cover
+the usual title lines too. The whole text must be the licence: one that only quotes it has another digest.
+
+The form is made in Python: as one JVM expression it compiled to code whose compilation alone could take more
+memory than an executor has beside its heap.
 """
 
 from __future__ import annotations
@@ -9,79 +13,95 @@ from __future__ import annotations
 import hashlib
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Public licence texts and notices, by SPDX name.
-KNOWN = {
-    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
-    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
-    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
-1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
-2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
-THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
-    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
-Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
-1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
-2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
-3. This notice may not be removed or altered from any source distribution.""",
-    "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
-    "MIT notice": "Released under the MIT License.",
-    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-}
+from .common import local_rows, release, small_batches
+from .license_digests import DIGESTS
+from .license_texts import KNOWN, TITLES
 
 # Spellings that count as one, old -> new, on lower-cased words.
-SPELLINGS = [
-    ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("sub license", "sublicense"), ("non infringement", "noninfringement"),
-    ("acknowledgement", "acknowledgment"), ("merchantibility", "merchantability"), ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"),
-    ("favour", "favor"), ("modifications", "modification"), ("organisation", "organization"), ("per cent", "percent"),
+SPELLINGS = {
+    "acknowledgement": "acknowledgment", "acknowledgements": "acknowledgments", "analogue": "analog", "analyse": "analyze", "artefact": "artifact", "authorisation": "authorization",
+    "authorised": "authorized", "calibre": "caliber", "cancelled": "canceled", "catalogue": "catalog", "categorise": "categorize", "centre": "center",
+    "emphasised": "emphasized", "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "fulfilment": "fulfillment", "initialise": "initialize",
+    "judgement": "judgment", "labelling": "labeling", "labour": "labor", "licence": "license", "licenced": "licensed", "licences": "licenses", "maximise": "maximize",
+    "merchantibility": "merchantability", "modelled": "modeled", "modelling": "modeling", "modifications": "modification", "offence": "offense", "optimise": "optimize",
+    "organisation": "organization", "organise": "organize", "practise": "practice", "programme": "program", "realise": "realize", "recognise": "recognize", "signalling": "signaling",
+    "utilisation": "utilization", "whilst": "while", "wilful": "willful", "https": "http",
+}
+# The same for phrases, applied in this order.
+PHRASES = [
+    ("sub license", "sublicense"), ("sub licensed", "sublicensed"), ("non infringement", "noninfringement"), ("non commercial", "noncommercial"), ("per cent", "percent"),
+    ("copyright owners", "copyright holder"), ("copyright owner", "copyright holder"), ("copyright holders", "copyright holder"),
 ]
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that opens with the word, the sign or (c), and a year or "by", "holder" names no terms.
-COPYRIGHT = r"(?m)^[ \t]*(?:copyright\b[ \t]*(?:\(c\)|©|[0-9]|by\b)|\(c\)[ \t]|©|all rights reserved)[^\n]*$"
+#: A line that opens with the word, the sign or (c), and a year, a name's place or "by", names no terms.
+COPYRIGHT = r"(?m)^[ \t]*(?:(?:portions )?copyright\b[ \t]*(?:\(c\)|©|[0-9]|[<\[{]|by\b)|\(c\)[ \t]|©|all rights reserved)[^\n]*$"
+#: Numbers, letters and bullets of lists.
+MARKER = r"(?m)^[ \t]*(?:[0-9]{1,2}[.)]|\([0-9a-z]{1,2}\)|[a-z][.)]|[*•·-])[ \t]+"
 
-
-def canonical(text: Column) -> Column:
-    """Canonical form: A-Z lower-cased, copyright lines gone, ASCII words only, one space, one spelling."""
-    out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    out = F.regexp_replace(out, COPYRIGHT, " ")
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(out, r"[^0-9a-z\x{80}-\x{10FFFF}]+", " ")), F.lit(" "))
-    for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(out)
+_copyright = re.compile(COPYRIGHT)
+_marker = re.compile(MARKER)
+_between = re.compile(r"[\W_]+")
 
 
 def canonical_text(text: str | None) -> str:
-    """``canonical`` for one text on the driver."""
-    out = (text or "").translate(str.maketrans(UPPER, LOWER))
-    out = re.sub(COPYRIGHT, " ", out, flags=re.ASCII)
-    out = " " + re.sub(r"[^0-9a-z\x80-\U0010ffff]+", " ", out).strip(" ") + " "
-    for old, new in SPELLINGS:
+    """The canonical form: lower case by single letters, words of letters and digits of any script, one space between."""
+    out = (text or "").replace("\r\n", "\n").replace("İ", "i").replace("Σ", "σ").lower()
+    out = _marker.sub(" ", _copyright.sub(" ", out))
+    words = _between.sub(" ", out).strip(" ").split(" ")
+    out = f" {' '.join(map(SPELLINGS.get, words, words))} "
+    for old, new in PHRASES:
         out = out.replace(f" {old} ", f" {new} ")
     return out.strip(" ")
 
 
-def known_digests(spark: SparkSession, known: dict[str, str] = KNOWN) -> DataFrame:
-    rows = sorted({hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in known.items()}.items())
-    return spark.createDataFrame(rows, "digest string, license string")
+def digest_of(text: str | None) -> str:
+    return hashlib.sha256(canonical_text(text).encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def digests_of(name: str, text: str, titles: dict[str, list[str]] = TITLES) -> dict[str, str]:
+    """Digest -> name, of the text alone and below each of its title lines."""
+    return {digest_of(t): name for t in [text, *(f"{title}\n\n{text}" for title in titles.get(name, []))]}
+
+
+def known_digests(spark: SparkSession, known: dict[str, str] = KNOWN, digests: dict[str, list[str]] = DIGESTS) -> DataFrame:
+    """(digest, license) of texts, and of licences that are known by digest alone."""
+    found = {d: name for name, listed in digests.items() for d in listed}
+    for name, text in known.items():
+        found |= digests_of(name, text)
+    return local_rows(spark, sorted(found.items()), "digest string, license string")
+
+
+def _forms(text: pd.Series) -> pd.DataFrame:
+    digests, sizes = [], []
+    for t in text:
+        form = canonical_text(t)
+        digests.append(hashlib.sha256(form.encode("utf-8", "surrogatepass")).hexdigest())
+        sizes.append(len(form))
+    return pd.DataFrame({"digest": digests, "n_canonical": pd.Series(sizes, dtype="int32")})
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_broadcast: int = 500_000) -> DataFrame:
-    """(``id_col``, digest, license) for every row; ``license`` is null where no known licence has the digest.
+    """(``id_col``, digest, license, n_canonical) for every row; ``license`` is null where no known licence has the digest.
 
-    The whole text must be the licence: a text that only quotes one has another digest. Null and empty
-    texts have the digest of the empty form and no licence. ``known`` (digest, license) is broadcast while it has
-    at most ``max_broadcast`` rows, else joined by shuffle (Spark splits a hot digest's side). Repeated
-    rows and null ids give one row each; other columns are not read.
+    Null and empty texts, and texts of punctuation alone, have the digest of the empty form and no licence. ``known``
+    (digest, license) is broadcast while it has at most ``max_broadcast`` rows, else joined by shuffle (Spark splits a
+    hot digest's side); of several names of one digest the first by name counts. Repeated rows and null ids give one
+    row each; an empty table gives none; other columns are not read.
     """
-    form = canonical(F.col(text_col))
-    rows = docs.select(F.col(id_col), F.sha2(form, 256).alias("digest"), F.length(form).alias("n_canonical"))
+    small_batches(docs.sparkSession)
+
+    def scan(batches):
+        for pdf in batches:
+            yield pd.concat([pdf[["id"]], _forms(pdf["text"])], axis=1)
+        release()
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(scan, f"id {kind}, digest string, n_canonical int")
     right = known.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license"))
     if right.count() <= max_broadcast:
         right = F.broadcast(right)
-    empty = hashlib.sha256(b"").hexdigest()
-    return rows.join(right, "digest", "left").select(id_col, "digest", F.when(F.col("digest") != empty, F.col("license")).alias("license"), "n_canonical")
+    empty = digest_of("")
+    return rows.join(right, "digest", "left").select(F.col("id").alias(id_col), "digest", F.when(F.col("digest") != empty, F.col("license")).alias("license"), "n_canonical")

@@ -24,7 +24,7 @@ def tokenizer_path() -> str:
 
 
 def op1_patience_line_dedup(spark, sf_dir):
-    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), all_common=True)
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     span = F.transform("_cut.spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return cut.select(
         "doc_id", "text", F.coalesce("_cut.lines", F.lit(0)).alias("cut_lines"), F.coalesce("_cut.words", F.lit(0)).alias("cut_words"),
@@ -112,15 +112,29 @@ FROM d LEFT JOIN g USING (rid)"""
 
 
 def _licenses_sql() -> str:
-    from .license_scan import COPYRIGHT, KNOWN, LOWER, SPELLINGS, UPPER, canonical_text
-
-    form = f"regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{COPYRIGHT}', ' ', 'g')"
-    form = f"' ' || trim(regexp_replace({form}, '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')) || ' '"
-    for old, new in SPELLINGS:
+    """Its own normaliser; known texts go through it, so that nothing but the lists is shared with the operator."""
+    from .license_digests import DIGESTS
+    from .license_scan import PHRASES, SPELLINGS
+    from .license_texts import KNOWN, TITLES
+
+    def quoted(t: str) -> str:
+        return "'" + t.replace("'", "''") + "'"
+
+    spellings = "MAP {" + ", ".join(f"{quoted(a)}: {quoted(b)}" for a, b in SPELLINGS.items()) + "}"
+    lines = "regexp_replace(lower(replace(replace(t, chr(13) || chr(10), chr(10)), chr(304), 'i')), '(?m)^[ \\t]*((portions )?copyright\\b[ \\t]*(\\(c\\)|©|[0-9]|[<\\[{]|by\\b)|\\(c\\)[ \\t]|©|all rights reserved)[^\\n]*$', ' ', 'g')"
+    marks = f"regexp_replace({lines}, '(?m)^[ \\t]*([0-9]{{1,2}}[.)]|\\([0-9a-z]{{1,2}}\\)|[a-z][.)]|[*•·-])[ \\t]+', ' ', 'g')"
+    words = f"trim(regexp_replace({marks}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    form = f"' ' || array_to_string(list_transform(string_split({words}, ' '), lambda w: coalesce(spell.m[w], w)), ' ') || ' '"
+    for old, new in PHRASES:
         form = f"replace({form}, ' {old} ', ' {new} ')"
-    known = ", ".join(f"(sha256('{canonical_text(t)}'), '{name}')" for name, t in KNOWN.items())
+    texts = ", ".join(f"({quoted(t)}, {quoted(n)})" for n, text in KNOWN.items() for t in [text, *(f"{title}\n\n{text}" for title in TITLES.get(n, []))])
+    digests = ", ".join(f"('{d}', {quoted(n)})" for n, listed in DIGESTS.items() for d in listed)
     return f"""
-WITH c AS (SELECT doc_id, trim({form}) AS form FROM documents), k(digest, license) AS (VALUES {known})
+WITH spell AS (SELECT {spellings} AS m),
+k0(t, name) AS (VALUES {texts}),
+k AS (SELECT digest, min(name) AS license FROM (SELECT sha256(trim({form})) AS digest, name FROM k0, spell UNION ALL SELECT * FROM (VALUES {digests}) AS v(digest, name)) GROUP BY 1),
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+c AS (SELECT doc_id, trim({form}) AS form FROM d, spell)
 SELECT doc_id, sha256(form) AS digest, license, CAST(length(form) AS INTEGER) AS n_canonical FROM c LEFT JOIN k ON sha256(form) = k.digest"""
 
 
