@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, local_rows
 
 SAMPLE = 20_000
 BLOCK = 50_000
@@ -35,9 +35,13 @@ def usable(v: Column) -> Column:
     return v.isNotNull() & F.coalesce(fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def even(rows: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest part to 0.5..1: exact, and no square overflows or vanishes."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
-    rows = np.asarray(rows, np.float64)
-    rows = rows / np.abs(rows).max(1, keepdims=True)  # first by the largest part: no square overflows or vanishes
+    rows = even(np.asarray(rows, np.float64))
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -133,12 +137,14 @@ def _unsure(scored: DataFrame, k: int, rerank: int) -> DataFrame:
 def nearest_of_all(ids: np.ndarray, v: np.ndarray, asked: list, k: int, block: int = 128):
     """(query, ids, scores) of the ``k`` nearest rows of a batch to each of ``asked`` (query, vector), by exact scores."""
     most = (k + 1) * int(np.unique(ids, return_counts=True)[1].max())  # a repeated id counts once, the query's own not at all
+    v = even(v)
     size, rows = np.sqrt((v * v).sum(1)), unit(v)
     for a in range(0, len(asked), block):
         part = asked[a : a + block]
         rough = unit(np.stack([q for _, q in part])) @ rows.T
         least = np.partition(rough, len(ids) - most, axis=1)[:, len(ids) - most] if len(ids) > most else np.full(len(part), -np.inf)
         for (query, q), near, bound in zip(part, rough, least):
+            (q,) = even(q[None, :])
             some = np.flatnonzero(near >= bound - 1e-9)  # products of matrices round differently
             score = (v[some] * q).sum(1) / (np.sqrt((q * q).sum()) * size[some])
             order = np.lexsort((ids[some], -score))
@@ -167,7 +173,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     lengths = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).limit(1).collect()
     schema = f"query_id long, rank int, {id_col} long, score double"
     if not lengths:
-        return spark.createDataFrame([], schema)
+        return local_rows(spark, [], schema)
     dims, total = lengths[0]["dims"], lengths[0]["count"]
     rows, asked = rows.where(F.size("v") == dims), asked.where(F.size("v") == dims)
     n_sample = max(256, min(SAMPLE, 8_000_000 // dims))
@@ -192,7 +198,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     pieces = {x: -(-n // BLOCK) for x, n in counts.items()}
     shards = max(1, -(-total // BLOCK))
     asks = max(1, -(-asked.count() // BLOCK))
-    shape = F.broadcast(spark.createDataFrame(list(pieces.items()), "list int, pieces int"))
+    shape = F.broadcast(local_rows(spark, list(pieces.items()), "list int, pieces int"))
     stride = 40503  # odd: neighbouring lists and pieces land in different shards
 
     def probe(batches):
@@ -253,7 +259,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     def exact(batches):
         for pdf in batches:
             if len(pdf):
-                a, b = _matrix(pdf["q"]), _matrix(pdf["v"])
+                a, b = even(_matrix(pdf["q"])), even(_matrix(pdf["v"]))
                 score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
                 yield pd.DataFrame({"query_id": pdf["query_id"], "id": pdf["id"], "near": pdf["near"], "full": pdf["full"], "score": score})
 
