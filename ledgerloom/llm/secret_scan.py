@@ -1,9 +1,11 @@
 """Secret scans with an incremental blob ledger.
 
-Every version of a path is a blob, addressed by the SHA-256 of its text. The ledger holds one row per
-(blob, rule, rule version) that has been scanned, with the spans found. A scan takes the distinct blobs
-of its input, drops the pairs that the ledger has, reads only the rest, and joins the findings back to
-every path through the blob address.
+Every version of a path is a blob, addressed by the SHA-256 of its text. The ledger has two tables: the history,
+one row per (path, blob) ever seen, and the findings, one row per (blob, rule, rule version) that has been scanned, with
+its spans. A scan takes the distinct blobs of its input, drops the pairs that the findings have, reads only the rest,
+and joins the findings back through the blob address: to the paths of the input, or to every path of the
+history (``BlobLedger.history``), so that a secret of an earlier version is still found under its path after
+the text has changed. Scans that run at once may add a pair twice; it counts once.
 
 Texts move once, to their blob's task, after copies within a task have been merged; what is joined back
 has no text. A blob that a third of all paths share is one row in the scan and a skew join on its way back.
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import Scratch
+from .common import Scratch, local_rows
 
 # The rules, in the order in which spans with one start are listed.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -56,7 +58,7 @@ def _scan(text: pd.Series, pending: pd.Series) -> pd.DataFrame:
 
 
 def _rules(spark: SparkSession, rules: dict[str, int]) -> DataFrame:
-    return spark.createDataFrame(list(rules.items()), "rule string, version int")
+    return local_rows(spark, list(rules.items()), "rule string, version int")
 
 
 def versions_of(docs: DataFrame, path_col: str, text_col: str) -> DataFrame:
@@ -83,28 +85,53 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: dic
 
 
 class BlobLedger:
-    """A ledger kept as Parquet at ``path``; ``scan`` appends what is new and returns the whole ledger."""
+    """A ledger kept as Parquet below ``path``; ``scan`` adds what is new and returns all findings."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
 
-    def read(self) -> DataFrame | None:
+    def _read(self, name: str, schema: str) -> DataFrame | None:
         try:
-            return self.spark.read.schema(LEDGER).parquet(self.path)
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return None
 
-    def scan(self, versions: DataFrame, rules: dict[str, int] = RULES) -> DataFrame:
-        scan_unseen(versions, self.read(), rules).write.mode("append").parquet(self.path)
-        return self.spark.read.schema(LEDGER).parquet(self.path)
+    def read(self) -> DataFrame | None:
+        """All findings, a row per (blob, rule, version); None before the first scan."""
+        found = self._read("findings", LEDGER)
+        return None if found is None else found.dropDuplicates(["blob", "rule", "version"])
+
+    def versions(self, kind: str = "bigint") -> DataFrame | None:
+        """(path, blob) of every version seen; ``kind`` is the type of paths."""
+        found = self._read("history", f"path {kind}, blob string")
+        return None if found is None else found.distinct()
+
+    def record(self, versions: DataFrame) -> None:
+        """Add the (path, blob) pairs that the history has not."""
+        seen, new = self.versions(versions.schema["path"].dataType.simpleString()), versions.select("path", "blob").distinct()
+        if seen is not None:
+            same = (F.col("n.path").eqNullSafe(F.col("s.path"))) & (F.col("n.blob") == F.col("s.blob"))
+            new = new.alias("n").join(seen.alias("s"), same, "left_anti")
+        new.write.mode("append").parquet(f"{self.path}/history")
+
+    def scan(self, versions: DataFrame, rules: dict[str, int] = RULES, *, history: bool = True) -> DataFrame:
+        """Scan the unseen pairs of ``versions`` and return all findings. Without ``history`` no paths are kept."""
+        if history:
+            self.record(versions)
+        scan_unseen(versions, self.read(), rules).write.mode("append").parquet(f"{self.path}/findings")
+        return self.read()
+
+    def history(self, rules: dict[str, int] = RULES, kind: str = "bigint") -> DataFrame:
+        """Findings of every version of every path ever seen, as ``findings_by_path`` has them."""
+        return findings_by_path(self.versions(kind), self.read(), rules)
 
 
 def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: dict[str, int] = RULES) -> DataFrame:
     """(path, blob, n_assign, n_access, n_hex, spans) for every row of ``versions``, from the ledger."""
     spark = versions.sparkSession
-    current = ledger.join(F.broadcast(_rules(spark, rules)), ["rule", "version"], "left_semi")
+    current = ledger.join(F.broadcast(_rules(spark, rules)), ["rule", "version"], "left_semi").dropDuplicates(["blob", "rule"])
     place = F.array_position(F.array(*[F.lit(r) for r in ORDER]), F.col("rule")).cast("int")
     marked = current.withColumn("marked", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), place.alias("place"), s["end"].alias("end"))))
     per_blob = marked.groupBy("blob").agg(
@@ -119,15 +146,15 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: dict[str, in
 def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ledger_path: str | None = None, rules: dict[str, int] = RULES) -> DataFrame:
     """Secrets in every whole text: (``id_col``, n_assign, n_access, n_hex, base_sha256, spans).
 
-    With ``ledger_path`` the ledger there is used and extended; without one, a new ledger is kept in the
-    shared scratch folder. Spans are ``kind:start:end`` in code points, end exclusive, by start and then
+    With ``ledger_path`` the ledger there is used and extended, with its history; without one, a new ledger is kept in the
+    shared scratch folder, where no later scan looks for a history. Spans are ``kind:start:end`` in code points, end exclusive, by start and then
     kind. The ledger adds no spans of its own, so ``base_sha256`` is the digest of ``spans``. Null texts
     count as empty; null ids, repeated rows and empty tables give one row per input row; other columns
     are not read.
     """
     spark = docs.sparkSession
     ledger = BlobLedger(spark, ledger_path or f"{Scratch(spark, 'ledger').root}/ledger")
-    kept = ledger.scan(versions_of(docs, id_col, text_col), rules)
+    kept = ledger.scan(versions_of(docs, id_col, text_col), rules, history=ledger_path is not None)
     found = findings_by_path(versions_of(docs, id_col, text_col), kept, rules)
     count = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     spans = F.coalesce("spans", F.lit(""))
