@@ -6,17 +6,15 @@ balanced, bounded sample of labelled texts is the training set and its first tex
 landmarks; one-versus-rest ridge regression is solved in the landmarks' span. Scoring is a product of
 the batch's sparse presence matrix with ``presence(landmarks) @ weights``, one column per language.
 
-The sample (``per_language`` texts per language, ``landmarks`` in all) bounds what reaches the driver: each
-sampled text, however long, comes as ``BUCKETS / 8`` bytes.
+The sample (``per_language`` texts per language and ``most`` in all, twice that before texts without a letter go;
+``landmarks`` in all) bounds what reaches the driver: each sampled text, however long, comes as ``BUCKETS / 8`` bytes.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held, small_batches
@@ -24,7 +22,11 @@ from .common import held, small_batches
 ORDER = 4
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-_letter = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Digits, fractions and other numerals are no letters."""
+    return bool(text) and any(map(str.isalpha, text))
 
 def _codes(text: str) -> np.ndarray:
     """Code points of the lower-cased letters, other runs as one space, a space at both ends."""
@@ -75,7 +77,7 @@ class Model:
     def score(self, texts) -> tuple[list[str], list[float]]:
         bits, names, scores = np.zeros(BUCKETS, bool), [], []
         for start in range(0, len(texts), 64):
-            block = [t if t and _letter.search(t) else "" for t in texts[start : start + 64]]
+            block = [t if has_letter(t) else "" for t in texts[start : start + 64]]
             sets = [present(t, bits) for t in block]
             size = np.array([len(s) for s in sets])
             sums = np.add.reduceat(self.weights[np.concatenate(sets)], np.concatenate([[0], np.cumsum(size)[:-1]]), axis=0) if len(self.languages) else np.zeros((len(block), 1))
@@ -112,23 +114,26 @@ def solve(sets: list[np.ndarray], labels: list[str], landmarks: int, ridge: floa
     return Model(languages, marks @ np.linalg.solve(lhs, gram.T @ target).astype(np.float32))
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, landmarks: int = 256, ridge: float = 1e-4) -> Model:
-    """Fit on at most ``per_language`` labelled, not held-out texts per language.
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, most: int = 20_000, landmarks: int = 256, ridge: float = 1e-4) -> Model:
+    """Fit on at most ``per_language`` labelled, not held-out texts per language, and about ``most`` in all.
 
-    The number of languages is that of the distinct values of ``lang_col``. Rows without id, label or a
-    letter are not learned from.
+    The number of languages is that of the distinct values of ``lang_col``. Rows without id, label or a letter are not
+    learned from. Ids are drawn first, by hash, without reading a text; then only the drawn texts are read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null and text is not null")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null")
     rows = rows.where(~held_out(F.col("id"))).withColumn("at", F.xxhash64("id", F.lit(11)))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
     if not counts:
         return solve([], [], landmarks, ridge)
-    # A share of each language by hash, about twice what is used, then the lowest hashes.
+    per_language = max(1, min(per_language, most // len(counts)))
+    # A share of each language by hash, about four times what is used, then the lowest hashes: twice as many, as some have no letter.
     share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * per_language / n))).otherwise(share)
-    drawn = rows.where(F.pmod("at", F.lit(1 << 24)) < share * (1 << 24)).where(F.col("text").rlike(r"\p{L}"))
-    drawn = drawn.orderBy("at").limit(2 * per_language * len(counts)).select("lang", F.pandas_udf(_packed, "binary")("text").alias("bits")).toPandas()
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 4.0 * per_language / n))).otherwise(share)
+    some = rows.where(F.pmod("at", F.lit(1 << 24)) < share * (1 << 24)).select("id", "lang", "at").distinct()
+    ranked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("at", "id"))).where(F.col("r") <= 2 * per_language)
+    texts = rows.join(F.broadcast(ranked.select("id").distinct()), "id", "left_semi").where(F.col("text").rlike(r"\p{L}"))  # as many as languages times 2 * per_language
+    drawn = texts.select("lang", "at", F.pandas_udf(_packed, "binary")("text").alias("bits")).toPandas().sort_values(["at", "bits"], kind="stable")
     sets, labels, taken = [], [], dict.fromkeys(counts, 0)
     for lang, bits in zip(drawn["lang"], drawn["bits"]):
         if taken[lang] < per_language:
