@@ -6,8 +6,8 @@ partitions with the widest imbalance, fullest part against emptiest, until one p
 near-equal windows remains. k starts at the total over the capacity, rounded up, and rises by one as long
 as a window exceeds the capacity.
 
-Words are looked up in a per-worker table (the tokenizer drops white space and never merges across it), so
-each distinct word is encoded about once per worker.
+Words are looked up in a table (the tokenizer drops white space and never merges across it), so each distinct word
+is encoded about once per task. A worker holds the table of one task at a time.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, Scratch, held
+from .common import Memo, Scratch, held, release
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -69,8 +69,9 @@ class CoreIds(Memo):
 class WordIds(Memo):
     """As ``CoreIds``, for words as they stand in a text.
 
-    The tokenizer cuts between letters and ASCII punctuation other than the apostrophe, and lower-cases:
-    so letters followed by such punctuation are looked up apart, and ASCII letters in lower case.
+    The tokenizer lower-cases and cuts between letters and ASCII punctuation other than the apostrophe:
+    so letters followed by such punctuation are looked up apart, and ASCII letters in lower case. Not so where a
+    letter's lower case is more than letters (a dotted capital I becomes an i and a mark, which joins the punctuation).
     """
 
     LIMIT = 220_000
@@ -82,7 +83,7 @@ class WordIds(Memo):
 
     def make(self, key: str) -> bytes:
         m = self.EDGE.fullmatch(key)
-        if not m:
+        if not m or not (m[1].isascii() or m[1].lower().isalpha()):
             return self.core.make(key)  # kept here under its own form
         word = m[1]
         return self.core[word.lower() if word.isascii() else word] + self.core[m[2]]
@@ -113,6 +114,7 @@ def pieces_of(docs: DataFrame, tokenizer_json: str, capacity: int, end_id: int,
                     out.append((doc, a // 4, len(part) // 4, zlib.crc32(part), len(data) // 4, (task << 32) + n))
                     n += 1
             yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "slot"]).astype({"doc_id": "Int64"})
+        release()  # workers take turns: what one holds between tasks, all would hold
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(cut, PIECE)
 
