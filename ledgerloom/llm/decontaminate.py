@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, release
+from .common import Scratch, free_name, local_rows, release
 
 WINDOW = 32
 STEP = WINDOW // 2
@@ -364,7 +364,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).where("i is not null and t is not null")
     n_blocks = max(1, math.ceil(items.count() / block_items))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text")).where("text is not null")
-    found = spark.createDataFrame([], f"{id_col} long, version long, {HIT}")
+    found = local_rows(spark, [], f"{id_col} long, version long, {HIT}")
     for b in range(n_blocks):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b).orderBy("i", "t").collect()
         block = vocabulary_of([r["i"] for r in rows], [r["t"] for r in rows])
@@ -390,6 +390,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     """Rows of ``docs`` that hold no item, all columns; see ``find_leaks``."""
     scratch = scratch or Scratch(docs.sparkSession, "leaks")
     found = find_leaks(docs.select(id_col, text_col), benchmark, id_col=id_col, text_col=text_col, scratch=scratch, **options)
-    bad = scratch.keep(found.select(F.col(id_col).alias("_id"), F.col("version").alias("_version")).distinct(), "contaminated")
+    leaked, edition = free_name(docs.columns, "_id"), free_name(docs.columns, "_version")
+    bad = scratch.keep(found.select(F.col(id_col).alias(leaked), F.col("version").alias(edition)).distinct(), "contaminated")
     bad = F.broadcast(bad) if bad.count() <= MAX_BROADCAST else bad
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_version")), "left_anti")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad[leaked]) & (F.xxhash64(docs[text_col]) == bad[edition]), "left_anti")
