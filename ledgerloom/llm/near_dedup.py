@@ -200,7 +200,7 @@ def _block_links(rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFra
     """
     first = rows.groupBy("bucket").agg(F.min("rep").alias("b"))
     linked = components(rows.join(first, "bucket").select(F.col("rep").alias("a"), "b"), scratch, "groups")
-    grouped = rows.join(linked.withColumnRenamed("node", "rep").withColumnRenamed("component", "unit"), "rep")
+    grouped = scratch.keep(rows.join(linked.withColumnRenamed("node", "rep").withColumnRenamed("component", "unit"), "rep"), "grouped")
     by_bucket = grouped.select("unit", "bucket", "size", "minor").distinct().groupBy("unit").agg(F.sum(F.col("size") * F.col("minor")).alias("bucket_cost"))
     members = scratch.keep(grouped.select("unit", "rep", "n", "comp").distinct(), "unit-members")
     spread = members.groupBy("unit", "comp").agg(F.count("*").alias("c")).groupBy("unit").agg(F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("comp", "c").alias("major"))
