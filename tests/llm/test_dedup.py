@@ -31,7 +31,7 @@ def test_a_repeated_block_goes_whole_although_its_frequent_lines_stood_earlier_e
     p, q, r, x, y = line(1), line(2), line(3), "short line", "other line"
     rows = [(1, f"{y}\n{x}"), (2, "\n".join([p, x, q, x, r])), (3, "\n".join([p, x, q, x, r])), (4, "\n".join([line(4), x, line(5), y, line(6)])), (5, "\n".join(["own", line(4), x, line(5), y, line(6)]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, all_common=True).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
     assert got == dict(rows) | {3: "", 5: "own"}
 
 
@@ -56,44 +56,30 @@ def words(seed, n):
 
 
 def lines_brute(rows, least):
-    """Texts after deletion, with partners by definition: the earliest document of each line."""
-    owner = {}
-    for i, t in rows:
-        if i is not None and t is not None:
-            for x in set(line_dedup.lines_of(t)):
-                owner[x] = min(owner.get(x, i), i)
-    by_id = {}
-    for i, t in rows:
-        if i is not None and t is not None:
-            by_id.setdefault(i, []).append(t)
+    """Texts after deletion by definition: lines in ``least`` consecutive words' worth of lines that an earlier document has."""
+    split = lambda t: [x.strip() for x in (t or "").split("\n") if x.strip()]
     out = []
     for i, t in rows:
-        if i is None or t is None:
-            out.append((i, t))
-            continue
-        mine, covered = line_dedup.lines_of(t), set()
-        for o in {owner[x] for x in mine if owner[x] < i}:
-            theirs = line_dedup.lines_of(by_id[o][0])
-            a = [(p, x) for p, x in enumerate(mine) if owner[x] == o]
-            b = [x for x in theirs if owner[x] == o and x in mine]
-            covered |= {a[p][0] for p, _ in line_dedup.patience([x for _, x in a], b)}
-        gone, run = set(), []
-        for p in range(len(mine) + 1):
-            if p in covered:
-                run.append(p)
-            else:
-                if sum(len(mine[q].split()) for q in run) >= least:
-                    gone |= set(run)
-                run = []
+        mine, gone = split(t), set()
+        for other, theirs in rows:
+            if i is None or t is None or other is None or theirs is None or other >= i:
+                continue
+            theirs = split(theirs)
+            for p in range(len(mine)):
+                for q in range(len(theirs)):
+                    if p and q and mine[p - 1] == theirs[q - 1]:
+                        continue  # begins further up
+                    n = 0
+                    while p + n < len(mine) and q + n < len(theirs) and mine[p + n] == theirs[q + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in mine[p : p + n]) >= least:
+                        gone |= set(range(p, p + n))
         n, kept = 0, []
-        for x in t.split("\n"):
-            if x.strip():
-                if n not in gone:
-                    kept.append(x)
-                n += 1
-            else:
+        for x in (t or "").split("\n"):
+            if not x.strip() or n not in gone:
                 kept.append(x)
-        out.append((i, "\n".join(kept)))
+            n += bool(x.strip())
+        out.append((i, None if t is None else "\n".join(kept)))
     return out
 
 
@@ -107,7 +93,9 @@ def test_lines_equal_brute_force(spark):
             a = rng.randrange(10)
             parts += shared[a : a + rng.randrange(1, 4)] if rng.random() < 0.5 else [words(1000 + i, 15), "", "short line"]
         rows.append((i, "\n".join(parts)))
-    rows += [(100, None), (101, ""), (None, rows[0][1]), (None, None), (5, rows[5][1]), (102, rows[3][1]), (103, "\n".join([shared[0]] * 400))]
+    small = ["a", "b b", "c c c", "d " * 30, "e " * 49]
+    rows += [(60 + k, "\n".join(rng.choice(small) for _ in range(rng.randrange(40)))) for k in range(30)]  # frequent lines, repeats, moved blocks
+    rows += [(100, None), (101, ""), (None, rows[0][1]), (None, None), (5, rows[5][1]), (5, rows[6][1]), (102, rows[3][1]), (103, "\n".join([shared[0]] * 400)), (104, "\n".join([shared[0]] * 300))]
     got = line_dedup.dedup_lines(frame(spark, rows))
     assert got.columns == ["doc_id", "text", "n", "line", "component_id", "row", "version", "_cut"]
     key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
@@ -115,6 +103,34 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_one_line_of_each_of_many_donors_is_no_passage(spark):
+    lines = [words(300 + k, 30) for k in range(6)]
+    rows = [*enumerate(lines), (7, "\n".join(lines)), (8, "\n".join(reversed(lines))), (9, "\n".join([lines[2], lines[3], "own", lines[0]]))]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(rows) | {9: "own\n" + lines[0]}  # two lines in a row are document 7's
+
+
+def test_passages_that_moved_are_found_by_the_second_alignment():
+    lines = {p: p for p in range(12)}
+    count = dict.fromkeys(lines, 20)
+    moved = [(0, 3, 30), (1, 3, 31), (6, 3, 10), (7, 3, 11)]
+    assert line_dedup.passages(moved, lines, count, 50, exact=False) == {0, 1, 2, 3, 6, 7, 8, 9}
+    in_order = [(0, 3, 10), (6, 3, 30)]
+    assert line_dedup.passages(in_order, lines, count, 50, exact=False) == {0, 1, 2, 6, 7, 8}
+
+
+def test_windows_are_least_and_stay_in_stretches():
+    at, count = np.array([0, 1, 2, 5, 6, 7, 8]), np.array([30, 30, 30, 10, 60, 1, 2])
+    assert line_dedup.windows_of(at, count, 50) == [(0, 2), (1, 3), (3, 5), (4, 5), (4, 6), (4, 7)]
+
+
+def test_clashing_names_pass_through_the_line_stage(spark):
+    rows = [(1, words(1, 60), 7, "a"), (2, words(1, 60), 8, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, cut long, _id string").withColumnRenamed("cut", "_runs")
+    got = {r.doc_id: (r.text, r["_runs"], r["_id"]) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (rows[0][1], 7, "a"), 2: ("", 8, "b")}
+
+
 def test_spans_tell_what_went(spark):
     passage = words(1, 30) + "\n" + words(2, 30)
     rows = [(1, "a first line\n" + passage), (2, words(9, 10) + "\n" + passage + "\nthe end"), (3, "clean text")]

@@ -58,6 +58,15 @@ def test_neighbours_in_a_group_of_thousands_of_near_copies(spark):
     assert np.mean([len(set(got[q]) & set(others[q])) / 5 for q in others]) >= 0.9
 
 
+def test_neighbours_of_huge_and_tiny_components(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1.0, 0.0]), (2, [1e200, 1.0]), (3, [0.0, 1.0]), (4, [1e-200, 1e-200]), (5, [5e-324, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): (r["rank"], r.score) for r in ann.search(frame, frame).collect()}
+    assert [1, 2, 5, 4, 3] == [i for _, i in sorted((got[0, i][0], i) for i in (1, 2, 3, 4, 5))]
+    assert got[0, 1][1] == got[0, 2][1] == got[5, 0][1] == 1.0 and got[0, 3][1] == 0.0
+    assert abs(got[0, 4][1] - 0.5**0.5) < 1e-15
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_neighbours_in_tiny_tables(spark, n):
     rows = [(i, [float(i + 1), 1.0]) for i in range(n)]
@@ -249,3 +258,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(kept["decontamination"]) == every - {230, 231, 210, 220}
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.collect()} == set(kept["decontamination"])
+
+
+def test_stages_take_odd_tables(spark, tmp_path):
+    """Nulls, repeated rows, empty tables and clashing names, stage by stage."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    schema = "doc_id long, text string, lang string, _language string, _cut long, _n int, _id string, _version long, row string"
+    text = lambda k: " ".join(words(k, 70))
+    rows = [(1, text(1)), (2, text(2)), (2, text(2)), (2, text(3)), (3, None), (None, text(4)), (None, None), (5, text(1)), (6, ""), (7, "?"), (8, text(9) + " " + text(5))]
+    docs = spark.createDataFrame([(i, t, "en", "l", 1, 2, "i", 3, "r") for i, t in rows], schema)
+    spark.createDataFrame([(0, text(5)), (None, text(1)), (1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes, name
+        left[name] = sorted(((r.doc_id or 0, r.text or "", r["_language"], r["_cut"], r["_n"], r["_id"], r["_version"], r.row) for r in out.collect()))
+        assert all(x[2:] == ("l", 1, 2, "i", 3, "r") for x in left[name]), name
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0, name
+    ids = {name: [x[0] for x in found] for name, found in left.items()}
+    assert ids["language_id"] == [0, 1, 2, 2, 2, 5, 8]
+    assert ids["line_dedup"] == [0, 0, 1, 2, 2, 2, 3, 6, 7, 8]  # 5 repeats 1 and nothing is left of it
+    assert ids["near_dedup"] == [0, 0, 1, 2, 3, 6, 7, 8]
+    assert ids["decontamination"] == [0, 0, 1, 2, 2, 2, 3, 5, 6, 7]
+    pack = corpus_pipeline.STAGES[-1][1]
+    assert sorted(r.doc_id or 0 for r in pack(spark, docs, str(tmp_path)).collect()) == sorted(i or 0 for i, _ in rows)
+    assert pack(spark, docs.where("false"), str(tmp_path)).count() == 0

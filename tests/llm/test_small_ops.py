@@ -1,15 +1,15 @@
 """Secret scan, packing, licences, language and URL rules against plain Python."""
 
 import hashlib
+import pathlib
 import re
 import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from ledgerloom.llm import language_id, license_scan, packing, secret_scan, url_filter
-from ledgerloom.llm.queries import tokenizer_path
+from ledgerloom.llm import language_id, license_digests, license_scan, license_texts, packing, secret_scan, url_filter
+from ledgerloom.llm.queries import ORACLES, tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, digest string, blob string"
 
@@ -57,10 +57,31 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     assert {r.path: r.spans or "" for r in found.collect()}[4] == base_spans(SECRETS[3][1])
 
 
+def test_ledger_keeps_the_history_of_paths(spark, tmp_path):
+    key = "token=abcdefghijklmnop"
+    ledger = secret_scan.BlobLedger(spark, str(tmp_path / "ledger"))
+    assert ledger.read() is None and ledger.versions() is None
+    for rows in ([(1, "x " + key), (2, "clean"), (None, key)], [(1, "clean"), (2, "clean"), (3, "x " + key)], [(1, "clean")]):
+        ledger.scan(secret_scan.versions_of(docs(spark, rows), "doc_id", "text"))
+    found = sorted((r.path or 0, r.n_assign) for r in ledger.history().collect())
+    assert found == [(0, 1), (1, 0), (1, 1), (2, 0), (3, 1)]  # the secret of path 1's first version is still there
+    assert ledger.versions().count() == 5 and ledger.read().count() == 9
+
+
+def test_pairs_that_two_scans_add_at_once_count_once(spark, tmp_path):
+    ledger = secret_scan.BlobLedger(spark, str(tmp_path / "ledger"))
+    versions = secret_scan.versions_of(docs(spark, [(1, "token=abcdefghijklmnop")]), "doc_id", "text")
+    for _ in range(2):
+        secret_scan.scan_unseen(versions).write.mode("append").parquet(f"{ledger.path}/findings")
+    for found in (ledger.read(), spark.read.parquet(f"{ledger.path}/findings")):
+        (row,) = secret_scan.findings_by_path(versions, found).collect()
+        assert (row.n_assign, row.spans) == (1, "assign:0:22")
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
-    rows = [(i, t) for i, t in [(1, "Hello  wörld\nand\tthe rest 's don't"), (2, None), (3, ""), (4, "ab c<|endoftext|> d " * 3000), (4, "again"), (None, "null id")]]
+    rows = [(i, t) for i, t in [(1, "Hello  wörld\nand\tthe rest 's don't"), (2, None), (3, ""), (4, "ab c<|endoftext|> d " * 3000), (4, "again"), (None, "null id"), (5, "\u0130, \u0130_ x\u0130] A\u0130, \u0130\u0130. \u03a3, \u1e9e! \u01c4; \u01c5: \ufb01)")]]
     rows += [(i, "word " * (i * 37 % 900)) for i in range(10, 60)]
     got = packing.pack_documents(docs(spark, rows), tokenizer_path(), windows_per_group=4).toPandas()
     tok = Tokenizer.from_file(tokenizer_path())
@@ -89,26 +110,60 @@ def test_differencing_is_balanced_and_raises_the_count():
 
 
 def test_licences(spark):
-    mit = license_scan.KNOWN["MIT"]
-    rows = [(1, mit), (2, "Copyright (c) 2020 Some One\n" + mit.upper()), (3, mit.replace("sublicense", "sub-license")), (4, mit + " extra"), (5, None), (6, ""), (7, "© 1999 x"), (8, "Released under the MIT Licence"), (8, "Released under the MIT Licence")]
+    mit, bsd = license_texts.KNOWN["MIT"], license_texts.KNOWN["BSD-3-Clause"]
+    curly = mit.replace('"Software"', "\u201cSoftware\u201d").replace("NONINFRINGEMENT", "NON\u2010INFRINGEMENT").replace("free of charge", "free\u00a0of\u00a0charge")
+    rows = [
+        (1, mit), (2, "Copyright (c) 2020 Some One\n" + mit.upper()), (3, mit.replace("sublicense", "sub-license")), (4, mit + " extra"), (5, None), (6, ""), (7, "© 1999 x"),
+        (8, "Released under the MIT Licence"), (8, "Released under the MIT Licence"), (9, "MIT License\r\n\r\nCopyright (c) 2020 Some One\r\n\r\n" + mit), (10, "The MIT License (MIT)\nCopyright © Some One\n" + curly),
+        (11, "BSD 3-Clause License\n\nCopyright (c) 2001, X. All rights reserved.\n" + bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ").replace("copyright holder nor", "copyright owner nor")),
+        (12, "quoted: " + mit), (None, mit), (13, "... --- ..."), (14, "word " * 100_000),
+    ]
     got = license_scan.scan_licenses(docs(spark, rows), license_scan.known_digests(spark))
-    assert sorted((r.doc_id, r.license) for r in got.collect() if r.license) == [(1, "MIT"), (2, "MIT"), (3, "MIT"), (8, "MIT notice"), (8, "MIT notice")]
+    assert got.columns == ["doc_id", "digest", "license", "n_canonical"]
+    found = sorted((r.doc_id or 0, r.license) for r in got.collect() if r.license)
+    assert found == [(0, "MIT"), (1, "MIT"), (2, "MIT"), (3, "MIT"), (8, "MIT notice"), (8, "MIT notice"), (9, "MIT"), (10, "MIT"), (11, "BSD-3-Clause")]
     assert got.count() == len(rows)
-    for r in docs(spark, rows).select("text", license_scan.canonical(F.col("text")).alias("c")).collect():
-        assert r.c == license_scan.canonical_text(r.text)
+    assert license_scan.scan_licenses(docs(spark, []), license_scan.known_digests(spark)).count() == 0
+    assert license_scan.scan_licenses(docs(spark, rows), license_scan.known_digests(spark), max_broadcast=0).where("license is not null").count() == len(found)
+
+
+@pytest.mark.parametrize(("path", "name"), [("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0"), ("GFDL-1.3", "GFDL-1.3"), ("CC0-1.0", "CC0-1.0")])
+def test_digests_are_those_of_the_public_texts(path, name):
+    """Against the texts that Debian ships; skipped where they are not."""
+    file = pathlib.Path("/usr/share/common-licenses", path)
+    if not file.exists():
+        pytest.skip("no licence texts")
+    text = file.read_text(errors="replace")
+    assert license_scan.digest_of(text) in license_digests.DIGESTS[name]
+    assert license_scan.digest_of("\t" + text.upper().replace("\n", "\r\n")) in license_digests.DIGESTS[name]
+
+
+def test_licence_twin_equals_the_operator():
+    import duckdb
+    import pandas as pd
+
+    odd = ["\u0130stanbul \u03a3\u0391\u03a3 \u00bd \u00b2 \u00dcber _a_ \r\n1. x\n(a) y\n\u2022 z \u00a9 2 \n\u00a9 x", None, "", "...", "licence", "sub licence", " copyright owners ", "https://x.y"]
+    texts = odd + list(license_texts.KNOWN.values())
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    known = {d: n for n, t in license_texts.KNOWN.items() for d in license_scan.digests_of(n, t)}
+    got = {r[0]: r[1:] for r in con.sql(ORACLES["op5_license_digests"]).fetchall()}
+    for i, t in enumerate(texts):
+        digest = license_scan.digest_of(t)
+        assert got[i] == (digest, known.get(digest), len(license_scan.canonical_text(t)))
 
 
 def test_language_learns_and_says_und(spark):
     words = {"en": "the of and with thing ing tion".split(), "fr": "le la é ère eaux tion des".split()}
     rng = np.random.default_rng(3)
     rows = [(i, " ".join(rng.choice(words["en" if i % 2 else "fr"], 30)), "en" if i % 2 else "fr") for i in range(200)]
-    rows += [(900, None, "en"), (901, "123 --", "fr"), (902, "", None), (None, "the thing and", "en"), (903, "la " * 100_000, None)]
+    rows += [(900, None, "en"), (901, "123 --", "fr"), (902, "", None), (904, "\u00bd \u00b2 \u2167", "fr"), (None, "the thing and", "en"), (903, "la " * 100_000, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = language_id.identify(frame).collect()
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
     assert all(by[i].lang_pred == ("en" if i % 2 else "fr") for i in range(200))
-    assert [by[i].lang_pred for i in (900, 901, 902, 903, None)] == ["und", "und", "und", "fr", "en"]
+    assert [by[i].lang_pred for i in (900, 901, 902, 904, 903, None)] == ["und", "und", "und", "und", "fr", "en"]
     assert all(0 <= r.score <= 1 for r in got)
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     assert {r.lang_pred for r in language_id.identify(frame.where("lang is null")).collect()} == {"und"}
@@ -133,16 +188,19 @@ def judge(url, rules=url_filter.RULES):
         host = re.split(r"[/?#]", rest, maxsplit=1)[0]
         path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
         host = host.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fits = [((len(h + p), len(h), v), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     _, rule, verdict = max(fits, default=(0, None, "allow"))
     return host, path, rule, verdict
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
-def test_urls(spark, bound):
+@pytest.mark.parametrize(("inline", "bound"), [(256, 200_000), (0, 200_000), (0, 0)])
+def test_urls(spark, inline, bound):
     rows = [(i, u, "host", "path") for i, u in enumerate(URLS)] + [(3, URLS[3], "host", "path"), (None, URLS[0], "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, host string, short string")
-    got = url_filter.filter_urls(pages, url_filter.rule_table(spark), max_broadcast_rules=bound).collect()
     key = lambda r: tuple(str(x) for x in r)
-    assert sorted(map(key, got)) == sorted(key((i, *judge(u))) for i, u, *_ in rows)
-    assert url_filter.filter_urls(pages.where("false"), url_filter.rule_table(spark)).count() == 0
+    more = [*url_filter.RULES, ("block", "a.com", "/de/x"), ("allow", "com", "/de/x"), ("block", "b.c.example.org", ""), ("allow", "x.org", "/"), ("block", "X.org", "/")]
+    for rules in (url_filter.RULES, more, []):
+        got = url_filter.filter_urls(pages, url_filter.rule_table(spark, rules), inline_rules=inline, max_broadcast_rules=bound)
+        assert [c for c, _ in got.dtypes] == ["page_id", "host", "path", "rule", "verdict"]
+        assert sorted(map(key, got.collect())) == sorted(key((i, *judge(u, [(v, h.lower(), p) for v, h, p in rules]))) for i, u, *_ in rows)
+    assert url_filter.filter_urls(pages.where("false"), url_filter.rule_table(spark), inline_rules=inline).count() == 0
