@@ -1,18 +1,16 @@
-"""Hashes and encodings that Spark lacks, in plain Python with pandas UDFs around them."""
+"""Hashes and encodings that Spark lacks, in Python and numpy with pandas UDFs around them."""
 
 from __future__ import annotations
 
 import base64
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ------------------------------------------------------------------ Keccak-256
 
-_MASK = (1 << 64) - 1
-
-
 def _constants() -> tuple[list[int], list[tuple[int, int, int]]]:
     """Round constants from the degree-8 shift register, and (x, y, rotation) of the rho and pi steps."""
     rounds, r = [], 1
@@ -33,35 +31,52 @@ def _constants() -> tuple[list[int], list[tuple[int, int, int]]]:
 _ROUNDS, _STEPS = _constants()
 
 
-def _rotate(v: int, n: int) -> int:
-    return ((v << n) | (v >> (64 - n))) & _MASK if n else v
+RATE = 136
 
 
-def _permute(a: list[list[int]]) -> list[list[int]]:
+def _permute(a: np.ndarray) -> np.ndarray:
+    """The permutation on 25 lanes (x + 5 * y) of many states at once: 25 x states."""
+    turn = lambda v, n: (v << np.uint64(n)) | (v >> np.uint64(64 - n)) if n else v
     for constant in _ROUNDS:
-        c = [a[x][0] ^ a[x][1] ^ a[x][2] ^ a[x][3] ^ a[x][4] for x in range(5)]
-        d = [c[(x - 1) % 5] ^ _rotate(c[(x + 1) % 5], 1) for x in range(5)]
-        a = [[a[x][y] ^ d[x] for y in range(5)] for x in range(5)]
-        b = [[0] * 5 for _ in range(5)]
-        b[0][0] = a[0][0]
+        c = np.bitwise_xor.reduce(a.reshape(5, 5, -1), axis=0)
+        d = np.stack([c[(x - 1) % 5] ^ turn(c[(x + 1) % 5], 1) for x in range(5)])
+        a = (a.reshape(5, 5, -1) ^ d).reshape(25, -1)
+        b = np.empty_like(a)
+        b[0] = a[0]
         for x, y, n in _STEPS:
-            b[y][(2 * x + 3 * y) % 5] = _rotate(a[x][y], n)
-        a = [[b[x][y] ^ (~b[(x + 1) % 5][y] & _MASK & b[(x + 2) % 5][y]) for y in range(5)] for x in range(5)]
-        a[0][0] ^= constant
+            b[y + 5 * ((2 * x + 3 * y) % 5)] = turn(a[x + 5 * y], n)
+        rows = b.reshape(5, 5, -1)
+        a = (rows ^ (~np.roll(rows, -1, axis=1) & np.roll(rows, -2, axis=1))).reshape(25, -1)
+        a[0] ^= np.uint64(constant)
     return a
 
 
+def keccak_many(items: list[bytes]) -> list[bytes]:
+    """Keccak-256, with the original padding (not SHA3-256), of each item; items of as many blocks go together."""
+    out: list[bytes] = [b""] * len(items)
+    groups: dict[int, list[int]] = {}
+    for i, item in enumerate(items):
+        groups.setdefault(len(item) // RATE + 1, []).append(i)
+    for blocks, members in groups.items():
+        data = np.zeros((len(members), blocks * RATE), np.uint8)
+        for row, i in enumerate(members):
+            item = items[i]
+            data[row, : len(item)] = np.frombuffer(item, np.uint8)
+            data[row, len(item)] = 1
+        data[:, -1] |= 0x80
+        words = data.view("<u8").T.astype(np.uint64)
+        state = np.zeros((25, len(members)), np.uint64)
+        for k in range(blocks):
+            state[: RATE // 8] ^= words[k * RATE // 8 : (k + 1) * RATE // 8]
+            state = _permute(state)
+        digests = np.ascontiguousarray(state[:4].T).astype("<u8").tobytes()
+        for row, i in enumerate(members):
+            out[i] = digests[32 * row : 32 * row + 32]
+    return out
+
+
 def keccak256(data: bytes) -> bytes:
-    """Keccak-256 with the original padding (not SHA3-256)."""
-    rate = 136
-    padded = bytearray(data) + b"\x01" + bytes(-(len(data) + 1) % rate)
-    padded[-1] |= 0x80
-    a = [[0] * 5 for _ in range(5)]
-    for start in range(0, len(padded), rate):
-        for i in range(rate // 8):
-            a[i % 5][i // 5] ^= int.from_bytes(padded[start + 8 * i : start + 8 * i + 8], "little")
-        a = _permute(a)
-    return b"".join(a[i % 5][i // 5].to_bytes(8, "little") for i in range(4))
+    return keccak_many([bytes(data)])[0]
 
 
 # ------------------------------------------------------------------ bech32
@@ -175,23 +190,34 @@ def parse_address(text: str | None, account: str, validator: str) -> bytes | Non
 BLOOM_BYTES = 256
 
 
+def _bits(digest: bytes) -> list[int]:
+    """The three bit numbers of a hashed item: 11 bits of each of the first three byte pairs."""
+    return [(digest[i] << 8 | digest[i + 1]) & 2047 for i in (0, 2, 4)]
+
+
 def bloom_bits(item: bytes) -> list[int]:
-    """The three bit numbers of an item: 11 bits of each of the first three byte pairs of its hash."""
-    h = keccak256(item)
-    return [(h[i] << 8 | h[i + 1]) & 2047 for i in (0, 2, 4)]
+    return _bits(keccak256(item))
 
 
-def bloom_of(items) -> bytes:
+def _bloom(digests) -> bytes:
     value = 0
-    for item in items:
-        for bit in bloom_bits(item):
+    for digest in digests:
+        for bit in _bits(digest):
             value |= 1 << bit
     return value.to_bytes(BLOOM_BYTES, "big")
 
 
-def bloom_has(bloom: bytes, item: bytes) -> bool:
+def bloom_of(items) -> bytes:
+    return _bloom(keccak_many(list(items)))
+
+
+def _holds(bloom: bytes, digest: bytes) -> bool:
     value = int.from_bytes(bloom, "big")
-    return all(value >> bit & 1 for bit in bloom_bits(item))
+    return all(value >> bit & 1 for bit in _bits(digest))
+
+
+def bloom_has(bloom: bytes, item: bytes) -> bool:
+    return _holds(bloom, keccak256(item))
 
 
 def bloom_union(blooms) -> bytes:
@@ -275,8 +301,17 @@ def _each(f, kind: str):
     return F.pandas_udf(lambda s: s.map(lambda v: None if v is None else f(bytes(v) if isinstance(v, (bytearray, memoryview)) else v)), kind)
 
 
+def _some(values) -> list[bytes]:
+    return [b"" if v is None else bytes(v) for v in values]
+
+
 def keccak(data: Column) -> Column:
-    return _each(keccak256, "binary")(data)
+    """Keccak-256 of binaries, a batch at a time."""
+
+    def made(s: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else h for v, h in zip(s, keccak_many(_some(s)))], dtype=object)
+
+    return F.pandas_udf(made, "binary")(data)
 
 
 def to_bech32(data: Column, prefix: str) -> Column:
@@ -293,12 +328,24 @@ def address_of(text: Column, account: str, validator: str) -> Column:
 
 
 def checksummed(address: Column) -> Column:
-    return _each(checksum_address, "string")(address)
+    """Mixed-case hex display of 20-byte addresses."""
+
+    def made(s: pd.Series) -> pd.Series:
+        digits = [v.hex() for v in _some(s)]
+        marks = [h.hex() for h in keccak_many([d.encode() for d in digits])]
+        shown = ("0x" + "".join(c.upper() if m >= "8" else c for c, m in zip(d, k)) for d, k in zip(digits, marks))
+        return pd.Series([None if v is None else x for v, x in zip(s, shown)], dtype=object)
+
+    return F.pandas_udf(made, "string")(address)
 
 
 def contract_address(sender: Column, nonce: Column) -> Column:
+    """Address of the contract that ``sender`` creates at ``nonce``; null where either is."""
+
     def made(s: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None or pd.isna(b) else created_address(bytes(a), int(b)) for a, b in zip(s, n)])
+        known = [a is not None and not pd.isna(b) for a, b in zip(s, n)]
+        hashes = keccak_many([rlp_encode([bytes(a), int(b)]) if k else b"" for k, a, b in zip(known, s, n)])
+        return pd.Series([h[12:] if k else None for k, h in zip(known, hashes)], dtype=object)
 
     return F.pandas_udf(made, "binary")(sender, nonce)
 
@@ -307,13 +354,18 @@ def logs_bloom(address: Column, topics: Column) -> Column:
     """Bloom of a log: its address and its topics."""
 
     def made(a: pd.Series, t: pd.Series) -> pd.Series:
-        return pd.Series([bloom_of([bytes(x)] + [bytes(y) for y in (ys if ys is not None else [])]) for x, ys in zip(a, t)])
+        items = [[bytes(x), *(bytes(y) for y in (ys if ys is not None else []))] for x, ys in zip(a, t)]
+        hashes = iter(keccak_many([x for row in items for x in row]))
+        return pd.Series([_bloom([next(hashes) for _ in row]) for row in items], dtype=object)
 
     return F.pandas_udf(made, "binary")(address, topics)
 
 
 def bloom_contains(bloom: Column, item: Column) -> Column:
-    return F.pandas_udf(lambda b, i: pd.Series([bloom_has(bytes(x), bytes(y)) for x, y in zip(b, i)]), "boolean")(bloom, item)
+    def made(b: pd.Series, i: pd.Series) -> pd.Series:
+        return pd.Series([_holds(bytes(x), h) for x, h in zip(b, keccak_many(_some(i)))], dtype=bool)
+
+    return F.pandas_udf(made, "boolean")(bloom, item)
 
 
 def bloom_or(bloom: Column) -> Column:

@@ -6,6 +6,7 @@ operation is valid where no running balance falls below zero.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,12 +104,105 @@ def token_ledger(operations: DataFrame) -> DataFrame:
     return _entries(operations.where(moves.isNotNull()), moves)
 
 
-def valid_operations(entries: DataFrame) -> DataFrame:
-    """Entries without operations that overdraw a balance when all are applied in order.
+def _before(rows: DataFrame, value: Column, name: str, size: int) -> DataFrame:
+    """Adds the sum of ``value`` over earlier operations of the same address and denomination.
 
-    One pass: an operation that is dropped is not put back when a later one would have covered it.
+    In two levels, so that one address with a third of all rows is many tasks: within ranges of ``size`` operations, and
+    over the ranges' totals.
     """
-    return entries.join(overdrawn(entries), "seq", "left_anti")
+    keys = ["address", "denom"]
+    ranged = rows.withColumn("_range", F.floor(F.col("seq") / size)).withColumn("_value", value)
+    totals = ranged.groupBy(*keys, "_range").agg(F.sum("_value").alias("_total"))
+    earlier = F.sum("_total").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("_range").alias("_of"), F.coalesce(earlier, F.lit(0)).alias("_base"))
+    same = (F.col("_address") == F.col("address")) & (F.col("_denom") == F.col("denom")) & (F.col("_of") == F.col("_range"))
+    within = Window.partitionBy(*keys, "_range").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
+    out = ranged.join(totals, same).withColumn(name, (F.col("_base") + F.coalesce(F.sum("_value").over(within), F.lit(0))).cast(AMOUNT))
+    return out.drop("_range", "_value", "_address", "_denom", "_of", "_base")
+
+
+def _fold(rows: pd.DataFrame) -> pd.DataFrame:
+    """One token's operations in order."""
+    balance: dict = {}
+    passed = []
+    rows = rows.sort_values("seq", kind="stable")
+    for op, sender, receiver, amount in zip(rows["op"], rows["sender"], rows["receiver"], rows["amount"]):
+        fine = op == "mint" or balance.get(sender, 0) >= amount
+        passed.append(fine)
+        if fine and op != "mint":
+            balance[sender] = balance.get(sender, 0) - amount
+        if fine and op != "burn":
+            balance[receiver] = balance.get(receiver, 0) + amount
+    return pd.DataFrame({"seq": rows["seq"], "accepted": passed})
+
+
+def _by_bounds(moves: DataFrame, size: int) -> DataFrame:
+    """(seq, accepted) without a task that holds a whole ledger.
+
+    Whether an operation passes depends on those before it, so it is decided as soon as bounds do: it passes if the
+    balance covers it even when all undecided debits pass and undecided credits do not, and fails if it is not covered
+    the other way round. Each round decides at least the first undecided operation of every ledger; rounds are as many
+    as decisions depend on each other in a row.
+    """
+    debit = F.struct(F.col("sender").alias("address"), (-F.col("amount")).cast(AMOUNT).alias("delta"))
+    credit = F.struct(F.col("receiver").alias("address"), F.col("amount").alias("delta"))
+    parts = F.when(F.col("op") == "mint", F.array(credit)).when(F.col("op") == "burn", F.array(debit)).otherwise(F.array(debit, credit))
+    entries = moves.select("seq", F.col("token").alias("denom"), F.explode(parts).alias("e")).select("seq", "denom", "e.*")
+    needs = moves.where("op <> 'mint'").select("seq", F.col("amount").alias("need"))
+    state = entries.join(needs, "seq", "left").withColumn("passes", F.when(F.col("need").isNull(), True).cast("boolean")).checkpoint()
+    while not state.where("passes is null").isEmpty():
+        sure, open_ = F.when(F.col("passes"), F.col("delta")).otherwise(F.lit(0)), F.col("passes").isNull()
+        low = sure + F.when(open_ & (F.col("delta") < 0), F.col("delta")).otherwise(F.lit(0))
+        high = sure + F.when(open_ & (F.col("delta") > 0), F.col("delta")).otherwise(F.lit(0))
+        bounds = _before(_before(state, low, "low", size), high, "high", size)
+        of_sender = bounds.where(F.col("passes").isNull() & (F.col("delta") <= 0)).groupBy("seq").agg(F.min("low").alias("low"), F.min("high").alias("high"), F.first("need").alias("need"))
+        decided = of_sender.select("seq", F.when(F.col("low") >= F.col("need"), True).when(F.col("high") < F.col("need"), False).alias("now")).where("now is not null")
+        state = state.join(decided, "seq", "left").withColumn("passes", F.coalesce("passes", "now")).drop("now").checkpoint()
+    return state.groupBy("seq").agg(F.bool_and("passes").alias("accepted"))
+
+
+def guarded(operations: DataFrame, *, fold_limit: int = 200_000, size: int = 100_000) -> DataFrame:
+    """Each operation (seq, op, token, sender, receiver, amount) with ``accepted``, as a contract that applies them in order.
+
+    A burn or a transfer needs its amount on the sender's balance, and one that is refused changes nothing. A token of at
+    most ``fold_limit`` operations (counted) is folded in a task; the others are decided by bounds, in ranges of ``size``
+    operations, with the same result. ``seq`` is unique. Amounts that are null or negative, and operations of other names, fail.
+    """
+    known = F.col("op").isin("mint", "burn", "transfer") & (F.col("amount") >= 0)
+    plain = operations.select("seq", "op", "token", "sender", "receiver", F.col("amount").cast(AMOUNT).alias("amount"))
+    moves = plain.where(F.coalesce(known, F.lit(False)))
+    large = moves.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > fold_limit).select("token")
+    long_ones = moves.join(large, "token", "left_semi")
+    kind = operations.schema["seq"].dataType.simpleString()
+    passed = moves.join(large, "token", "left_anti").groupBy("token").applyInPandas(_fold, f"seq {kind}, accepted boolean")
+    if not large.isEmpty():
+        passed = passed.union(_by_bounds(long_ones, size))
+    return operations.join(passed, "seq", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+
+
+def valid_operations(operations: DataFrame, **options) -> DataFrame:
+    """Entries of the operations that a contract accepts; see ``guarded``."""
+    return token_ledger(guarded(operations, **options).where("accepted").drop("accepted"))
+
+
+def tally(votes: DataFrame, power: DataFrame) -> DataFrame:
+    """(proposal, option, power): the voters' power by option; of a voter's votes on a proposal the last stands."""
+    last = votes.groupBy("proposal", "voter").agg(F.max_by("option", "seq").alias("option"))
+    return last.join(power.select("voter", "power"), "voter").groupBy("proposal", "option").agg(F.sum("power").alias("power"))
+
+
+def with_deployments(coins: DataFrame, mappings: DataFrame, denoms: Denoms, *, auto_deploy: bool, new_contract: Column) -> tuple[DataFrame, DataFrame]:
+    """(coins with their contract, new auto mappings) of conversions (seq, address, denom, amount).
+
+    The external contract is preferred to the auto-deployed one. A valid denomination without one gets ``new_contract``, an
+    expression of the denomination, if ``auto_deploy``; others keep a null contract, by which conversion rejects them.
+    """
+    from .lookups import contracts_of
+
+    met = contracts_of(coins, mappings).drop("external", "auto")
+    missing = F.col("contract").isNull() & denoms.is_valid(F.col("denom")) & F.lit(auto_deploy)
+    made = met.where(missing).select("denom").distinct().select("denom", F.lit("auto").alias("kind"), new_contract.alias("contract"))
+    return met.withColumn("contract", F.when(missing, new_contract).otherwise(F.col("contract"))), made
 
 
 def genesis_token(addresses: DataFrame, amount: int, slot: int = 0) -> DataFrame:

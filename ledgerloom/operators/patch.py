@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import proto
-from ..functions.keys import ETH_TX, HASH_FAMILY, HEIGHT_FAMILIES, TX_HEIGHT, HeightSpec, block_key_height, eth_key_parts, has_prefix, normal_hash, tx_key_height, tx_key_index
+from ..functions.keys import ETH_TX, HASH_FAMILY, HEIGHT_FAMILIES, TX_HEIGHT, HeightSpec, block_key_height, eth_key_parts, has_binary_prefix, has_prefix, normal_hash, tx_key_height, tx_key_index
 from .migrate import prefix_scan
 
 
@@ -42,7 +42,7 @@ def patch_blocks(source: DataFrame, spec: HeightSpec, target: DataFrame | None =
     chosen = _keep(picked, target, policy)
     headers = chosen.where(F.col("key_text").startswith("H:")).select(proto.block_hash(F.col("value")).alias("hash")).where("hash is not null")
     wanted = headers.select(F.concat(F.lit(HASH_FAMILY.encode()), F.col("hash")).alias("key")).distinct()
-    by_hash = source.where(F.col("key").startswith(F.lit(HASH_FAMILY.encode()))).join(wanted, "key", "left_semi")
+    by_hash = source.where(has_binary_prefix(F.col("key"), HASH_FAMILY.encode())).join(wanted, "key", "left_semi")
     names = source.columns
     family = F.regexp_extract("key_text", "^([A-Z]+):", 1)
     rows = chosen.select(*names).withColumn("family", family).unionByName(by_hash.select(*names).withColumn("family", F.lit("BH")))

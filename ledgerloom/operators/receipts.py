@@ -57,18 +57,19 @@ def replay_cumulative_gas(messages: DataFrame, text: str = OVER_LIMIT) -> DataFr
 
 
 def fix_last_receipt(receipts: DataFrame, exceeded: Column, gas_limit: Column) -> DataFrame:
-    """Where the block exceeded its gas, its last receipt fails, uses its whole limit and adds the refund."""
+    """Where the block exceeded its gas, its last receipt fails, uses its whole limit and adds the refund.
+
+    A failed transaction has no logs and creates nothing: of the columns ``logs``, ``logs_bloom`` and
+    ``contract_address`` those that there are become empty, the empty bloom and null.
+    """
     backwards = Window.partitionBy("block").orderBy(F.desc("tx_index"))
     last = (F.row_number().over(backwards) == 1) & exceeded
-    refund = gas_limit - F.col("gas_used")
+    kinds = dict(receipts.dtypes)
+    new = {"status": F.lit(0), "cumulative_gas_used": F.col("cumulative_gas_used") + gas_limit - F.col("gas_used"), "gas_used": gas_limit}
+    emptied = {"logs": F.array(), "logs_bloom": F.lit(bytes(256)), "contract_address": F.lit(None)}
+    new |= {c: v.cast(kinds[c]) for c, v in emptied.items() if c in kinds}
     marked = receipts.withColumn("is_last", last)
-    swap = lambda new, old: F.when(F.col("is_last"), new).otherwise(F.col(old))
-    return marked.select(
-        *[c for c in receipts.columns if c not in ("status", "gas_used", "cumulative_gas_used")],
-        swap(F.lit(0), "status").alias("status"),
-        swap(F.col("cumulative_gas_used") + refund, "cumulative_gas_used").alias("cumulative_gas_used"),
-        swap(gas_limit, "gas_used").alias("gas_used"),
-    )
+    return marked.select(*[F.when(F.col("is_last"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in receipts.columns])
 
 
 def zip_results(blocks: DataFrame) -> DataFrame:
@@ -101,3 +102,8 @@ def project_receipt(rows: DataFrame) -> DataFrame:
         F.when(is_creation, F.col("created")).alias("contract_address"),
         F.when(F.col("type") == DYNAMIC_FEE, effective_gas_price(F.col("base_fee"), F.col("tip_cap"), F.col("fee_cap"))).alias("effective_gas_price"),
     )
+
+
+def hashes_by_block(txs: DataFrame) -> DataFrame:
+    """(block, hashes): a block's transaction hashes in order; what a block holds is bounded by its gas."""
+    return txs.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("tx", "hash"))), lambda x: x["hash"]).alias("hashes"))

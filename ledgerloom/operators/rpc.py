@@ -96,3 +96,32 @@ def pool_content(pool: DataFrame) -> DataFrame:
     """(sender, transactions by nonce): one account's queue is bounded by the pool's limit per sender."""
     listed = F.array_sort(F.collect_list(F.struct("nonce", "hash")))
     return pool.groupBy("sender").agg(F.map_from_entries(F.transform(listed, lambda x: F.struct(x["nonce"].cast("string").alias("key"), x["hash"].alias("value")))).alias("by_nonce"))
+
+
+def code(accounts: DataFrame, blocks: DataFrame, address: str, at: int | str = "latest") -> DataFrame:
+    """One row: the code at an address, empty where there is none."""
+    return account(accounts, blocks, address, at).agg(F.coalesce(F.max("code"), F.lit(b"")).alias("code"))
+
+
+def fee_history(blocks: DataFrame, count: int, newest: int | str = "latest", cap: int = 100) -> DataFrame:
+    """(height, base_fee, gas_used_ratio) of the last ``count`` blocks up to ``newest``, at most ``cap``, oldest first.
+
+    ``blocks`` has gas_used, gas_limit and base_fee; a block without a limit has ratio 0.
+    """
+    top = resolve(blocks, newest)
+    ratio = F.when(F.col("gas_limit") > 0, F.col("gas_used") / F.col("gas_limit")).otherwise(F.lit(0.0))
+    return blocks.where((F.col("height") <= top) & (F.col("height") > top - min(count, cap))).select("height", "base_fee", ratio.alias("gas_used_ratio")).orderBy("height")
+
+
+def proven_values(accounts: DataFrame, storage: DataFrame, blocks: DataFrame, address: str, slots: list[bytes], at: int | str = "latest") -> DataFrame:
+    """(slot, value, balance, nonce): what a proof of an account and its slots is about. The proof's nodes need the tree, which is not recorded."""
+    height = resolve(blocks, at)
+    held = as_of(storage.where((F.col("address") == address) & F.col("slot").isin(*slots)), ["address", "slot"], height)
+    asked = blocks.sparkSession.range(1).select(F.explode(F.array(*[F.lit(s) for s in slots])).alias("slot"))
+    owner = account(accounts, blocks, address, height).agg(F.coalesce(F.max("balance"), F.lit(0)).alias("balance"), F.coalesce(F.max("nonce"), F.lit(0)).alias("nonce"))
+    return asked.join(held.select("slot", "value"), "slot", "left").select("slot", F.coalesce("value", F.lit(bytes(32))).alias("value")).join(F.broadcast(owner))
+
+
+def trace(calls: DataFrame, tx_hash: bytes) -> DataFrame:
+    """Recorded calls of a transaction (hash, position, depth, op, from, to, value, gas, error) in order; nothing is run again."""
+    return calls.where(F.col("hash") == F.lit(tx_hash)).orderBy("position")

@@ -1,7 +1,8 @@
 """Block statistics, load-test batches and small order-sensitive operators.
 
-Windows over all blocks have one partition by nature (there is one chain); they run over one row per block, after
-aggregation, never over transactions. ``blocked`` variants cut a long chain into ranges with an overlap.
+Windows over a whole chain look back a bounded number of blocks. So the chain is cut into ranges of heights that many
+tasks share: blocks are numbered (counts per range, then places within one), cut by number, and the last rows of
+a range are copied into the next one for the window and dropped after it.
 """
 
 from __future__ import annotations
@@ -16,28 +17,49 @@ def tx_counts(txs: DataFrame, height: str = "height") -> DataFrame:
     return txs.groupBy(height).agg(F.count("*").alias("n_txs"))
 
 
-def sliding_tps(blocks: DataFrame, *, window: int = WINDOW, height: str = "height", ts: str = "ts", n: str = "n_txs", by: list[str] | None = None) -> DataFrame:
-    """Transactions per second over the last ``window`` blocks: those after the first, over the time from first to last.
+RANGE = 100_000
+
 
-    Fewer than two blocks, or no time between them, is 0.
+def numbered(blocks: DataFrame, height: str = "height", size: int = RANGE) -> DataFrame:
+    """Blocks with ``_n``, their place by height from 0 on, whatever heights are missing.
+
+    Only one row per range of ``size`` heights meets in one task.
     """
-    w = Window.partitionBy(*(by or [])).orderBy(height).rowsBetween(-(window - 1), 0)
-    micros = F.unix_micros(F.col(ts)) - F.first(F.unix_micros(F.col(ts))).over(w)
-    txs = F.sum(n).over(w) - F.first(n).over(w)
-    return blocks.withColumn("tps", F.when(micros <= 0, F.lit(0.0)).otherwise(txs * 1_000_000.0 / micros))
+    own = F.floor(F.col(height) / size)
+    counts = blocks.groupBy(own.alias("_of")).agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("_own").orderBy(height)) - 1
+    met = blocks.withColumn("_own", own).withColumn("_place", place).join(counts.select("_of", before.alias("_before")), F.col("_own") == F.col("_of"))
+    return met.withColumn("_n", (F.col("_before") + F.col("_place")).cast("long")).drop("_own", "_place", "_of", "_before")
 
 
-def sliding_tps_blocked(blocks: DataFrame, *, window: int = WINDOW, size: int = 1_000_000, height: str = "height", ts: str = "ts", n: str = "n_txs") -> DataFrame:
-    """As ``sliding_tps`` for consecutive heights, in ranges of ``size`` heights that many tasks share.
+def _in_ranges(blocks: DataFrame, height: str, back: int, size: int, over) -> DataFrame:
+    """``over(rows, ["_range"])`` on ranges of blocks, each with the ``back`` blocks before it."""
+    size = max(size, back + 1)
+    own = F.floor(F.col("_n") / size)
+    copies = F.when(F.col("_n") % size >= size - back, F.array(own, own + 1)).otherwise(F.array(own)) if back else F.array(own)
+    dealt = numbered(blocks, height, size).withColumn("_mine", own).withColumn("_range", F.explode(copies))
+    return over(dealt, ["_range"]).where("_range = _mine").drop("_range", "_mine", "_n")
 
-    The last ``window - 1`` rows of a range are copied into the next one and dropped after the window.
+
+def sliding_tps(blocks: DataFrame, *, window: int = WINDOW, height: str = "height", ts: str = "ts", n: str = "n_txs", size: int = RANGE, by: list[str] | None = None) -> DataFrame:
+    """Transactions per second over the last ``window`` blocks: those after the first, over the time from first to last.
+
+    Fewer than two blocks, or no time between them, is 0. With ``by``, each of these groups is a chain of its own.
     """
-    own = F.floor(F.col(height) / size)
-    last = F.col(height) % size >= size - (window - 1)
-    copies = F.when(last, F.array(own, own + 1)).otherwise(F.array(own))
-    dealt = blocks.withColumn("_own", own).withColumn("_range", F.explode(copies))
-    out = sliding_tps(dealt, window=window, height=height, ts=ts, n=n, by=["_range"])
-    return out.where("_range = _own").drop("_own", "_range")
+
+    def over(rows: DataFrame, groups: list[str]) -> DataFrame:
+        w = Window.partitionBy(*groups).orderBy(height).rowsBetween(-(window - 1), 0)
+        micros = F.unix_micros(F.col(ts)) - F.first(F.unix_micros(F.col(ts))).over(w)
+        txs = F.sum(n).over(w) - F.first(n).over(w)
+        return rows.withColumn("tps", F.when(micros <= 0, F.lit(0.0)).otherwise(txs * 1_000_000.0 / micros))
+
+    return over(blocks, by) if by else _in_ranges(blocks, height, window - 1, size, over)
+
+
+def sliding_tps_blocked(blocks: DataFrame, *, size: int = 1_000_000, **options) -> DataFrame:
+    """``sliding_tps`` in ranges of ``size`` blocks."""
+    return sliding_tps(blocks, size=size, **options)
 
 
 def top_tps(stats: DataFrame, k: int = 5, height: str = "height") -> DataFrame:
@@ -52,16 +74,24 @@ def stats_lines(stats: DataFrame, k: int = 5) -> DataFrame:
     return stats.select(F.lit(0).alias("part"), F.col("height").cast("bigint").alias("height"), line.alias("line")).unionByName(top).orderBy("part", "height").select("line")
 
 
-def gaps(blocks: DataFrame, height: str = "height", by: list[str] | None = None) -> DataFrame:
+def gaps(blocks: DataFrame, height: str = "height", by: list[str] | None = None, size: int = RANGE) -> DataFrame:
     """Each height with its predecessor and whether it is the next one."""
-    before = F.lag(height).over(Window.partitionBy(*(by or [])).orderBy(height))
-    return blocks.withColumn("previous", before).withColumn("consecutive", F.col("previous").isNull() | (F.col(height) == F.col("previous") + 1))
 
+    def over(rows: DataFrame, groups: list[str]) -> DataFrame:
+        before = F.lag(height).over(Window.partitionBy(*groups).orderBy(height))
+        return rows.withColumn("previous", before).withColumn("consecutive", F.col("previous").isNull() | (F.col(height) == F.col("previous") + 1))
 
-def idle(blocks: DataFrame, run: int = 20, *, height: str = "height", n: str = "n_txs", by: list[str] | None = None) -> DataFrame:
+    return over(blocks, by) if by else _in_ranges(blocks, height, 1, size, over)
+
+
+def idle(blocks: DataFrame, run: int = 20, *, height: str = "height", n: str = "n_txs", by: list[str] | None = None, size: int = RANGE) -> DataFrame:
     """Whether a block ends ``run`` consecutive empty ones; a run that would pass the first block is not idle."""
-    w = Window.partitionBy(*(by or [])).orderBy(height).rowsBetween(-(run - 1), 0)
-    return blocks.withColumn("idle", (F.max(n).over(w) == 0) & (F.count("*").over(w) == run))
+
+    def over(rows: DataFrame, groups: list[str]) -> DataFrame:
+        w = Window.partitionBy(*groups).orderBy(height).rowsBetween(-(run - 1), 0)
+        return rows.withColumn("idle", (F.max(n).over(w) == 0) & (F.count("*").over(w) == run))
+
+    return over(blocks, by) if by else _in_ranges(blocks, height, run - 1, size, over)
 
 
 def nonces(txs: DataFrame, sender: str, order: list[str], first: Column | int = 0) -> DataFrame:
@@ -75,15 +105,17 @@ def interleave(txs: DataFrame, account: str = "account", nonce: str = "nonce") -
 
 
 def interleaved_position(txs: DataFrame, account: str = "account", nonce: str = "nonce") -> DataFrame:
-    """The place of each transaction in ``interleave``, without one global sort.
+    """The place of each transaction in ``interleave``, without one global sort in a task.
 
-    A place is what earlier rounds hold, one count per nonce, and the rank within the round.
+    Rows are dealt to tasks by ranges of (nonce, account) and kept so (a checkpoint: the ranges are found by sampling); a
+    place is the number of rows in earlier ranges and the place in the own one. One row per range meets in one task.
     """
-    sizes = txs.groupBy(nonce).agg(F.count("*").alias("_size"))
-    before = F.coalesce(F.sum("_size").over(Window.orderBy(nonce).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.withColumn("_before", before).drop("_size")
-    rank = F.row_number().over(Window.partitionBy(nonce).orderBy(account)) - 1
-    return txs.withColumn("_rank", rank).join(offsets, nonce).withColumn("position", (F.col("_before") + F.col("_rank")).cast("long")).drop("_before", "_rank")
+    dealt = txs.repartitionByRange(nonce, account).sortWithinPartitions(nonce, account).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    ranges = dealt.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1))
+    sizes = ranges.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", before.alias("_before"))
+    return ranges.join(F.broadcast(offsets), "_part").withColumn("position", (F.col("_before") + F.col("_at")).cast("long")).drop("_part", "_at", "_before", "_id")
 
 
 def batch_numbers(rows: DataFrame, index: str, size: int) -> DataFrame:
@@ -103,11 +135,14 @@ def batch_fees(txs: DataFrame, by: str, gas: str = "gas", price: str = "gas_pric
     return txs.groupBy(by).agg(F.sum((F.col(gas) * F.col(price)).cast("decimal(38,4)")).alias("fee"), F.sum(gas).alias("gas"))
 
 
-def all_pairs(peers: DataFrame, key: str = "peer") -> DataFrame:
+def all_pairs(peers: DataFrame, key: str = "peer", most: int = 100_000) -> DataFrame:
     """Each peer with the joined names of all others.
 
-    The names are gathered once and a peer's own is left out of its copy: no pairs are made.
+    The names are gathered once and a peer's own is left out of its copy: no pairs are made. The result has the square of
+    the peers' number in names by its nature, so more than ``most`` peers are an error, not a broadcast without bound.
     """
+    if (n := peers.count()) > most:
+        raise ValueError(f"{n} peers are above {most}: every peer would list all others")
     every = peers.agg(F.array_sort(F.collect_list(key)).alias("_all"))
     return peers.join(F.broadcast(every), F.lit(True)).select(key, F.array_join(F.filter("_all", lambda x: x != F.col(key)), ",").alias("others"))
 

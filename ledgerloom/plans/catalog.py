@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chain, receipts, state, stores, streams
+from . import chain, codecs, files, keeper, node, receipts, state, stores, streams
 
 QUERIES, ORACLES = {}, {}
-for part in (receipts, stores, state, chain, streams):
+for part in (receipts, stores, state, chain, codecs, node, keeper, files, streams):
     QUERIES |= part.QUERIES
     ORACLES |= part.ORACLES

@@ -67,8 +67,10 @@ def round_robin_interleave(spark, sf_dir):
 
 
 def split_ranges(spark, sf_dir):
+    """Order numbers from 0 to the last in batches of 1000, and in seven even parts."""
     orders = S.batch_numbers(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("i")), "i", 1000)
-    return S.even_parts(orders, "i", 15001, 7).groupBy("batch", "part").agg(F.count("*").alias("n"))
+    total = (orders.agg(F.max("i")).first()[0] or 0) + 1
+    return S.even_parts(orders, "i", total, 7).groupBy("batch", "part").agg(F.count("*").alias("n"))
 
 
 def batch_fee_sum(spark, sf_dir):
@@ -104,8 +106,8 @@ def _events(spark, sf_dir):
 
 def event_attr_map(spark, sf_dir):
     """The last attribute of a name stands; a rename copies it."""
-    found = E.attribute_map(F.col("event"), {"who": "user_id"})
-    return _events(spark, sf_dir).select("event_id", F.try_element_at(found, F.lit("user_id")).alias("user_id"), F.try_element_at(found, F.lit("event_type")).alias("event_type"), F.try_element_at(found, F.lit("who")).alias("who"))
+    found = _events(spark, sf_dir).select("event_id", E.attribute_map(F.col("event"), {"who": "user_id"}).alias("m"))  # made once, read three times
+    return found.select("event_id", *[F.try_element_at("m", F.lit(c)).alias(c) for c in ("user_id", "event_type", "who")])
 
 
 def first_matching_event(spark, sf_dir):
@@ -157,30 +159,6 @@ def hex_quantities(spark, sf_dir):
     return parts.select("p_partkey", X.quantity(F.col("p_partkey")).alias("quantity"), X.hex_data(F.col("p_name").cast("binary")).alias("data"), X.bytes_u64(X.u64_bytes(F.col("p_partkey"))).cast("long").alias("again"))
 
 
-# ------------------------------------------------------------------ codecs, rows only
-
-
-def keccak_topic(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", F.hex(X.keccak(F.col("p_name").cast("binary"))).alias("topic"))
-
-
-def bech32_roundtrip(spark, sf_dir):
-    address = F.substring(F.unhex(F.sha2(F.col("c_name"), 256)), 1, 20)
-    rows = table(spark, sf_dir, "customer").select("c_custkey", address.alias("address")).withColumn("text", X.to_bech32(F.col("address"), "acc"))
-    return rows.select("c_custkey", (X.from_bech32(F.col("text")) == F.col("address")).alias("same"))
-
-
-def bloom_member(spark, sf_dir):
-    parts = table(spark, sf_dir, "supplier").select("s_nationkey", F.col("s_name").cast("binary").alias("item")).withColumn("bloom", X.logs_bloom(F.col("item"), F.array().cast("array<binary>")))
-    blooms = parts.groupBy("s_nationkey").agg(X.bloom_or(F.col("bloom")).alias("merged"))
-    return parts.drop("bloom").join(blooms, "s_nationkey").select("s_nationkey", F.hex("item").alias("item"), X.bloom_contains(F.col("merged"), F.col("item")).alias("member"))
-
-
-def created_addresses(spark, sf_dir):
-    sender = F.substring(F.unhex(F.sha2(F.col("c_name"), 256)), 1, 20)
-    return table(spark, sf_dir, "customer").select("c_custkey", X.checksummed(X.contract_address(sender, F.col("c_custkey"))).alias("contract"))
-
-
 # ------------------------------------------------------------------ extensions that Spark has anyway
 
 
@@ -196,7 +174,7 @@ def ext_rollup(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     block_tx_count, tps_sliding, tps_sliding_blocked, tps_top5, consecutive_gap, idle_runs, nonce_sequence, round_robin_interleave, split_ranges, batch_fee_sum, peer_cross,
     duplicate_events, min_max_by_type, event_attr_map, first_matching_event, log_filter, log_router, event_query, bitor_bloom_lane, message_pairing, time_parse, hex_quantities,
-    keccak_topic, bech32_roundtrip, bloom_member, created_addresses, ext_tumbling, ext_rollup,
+    ext_tumbling, ext_rollup,
 )}
 
 _TPS = """CASE WHEN height - first_value(height) OVER w <= 0 THEN 0.0 ELSE
@@ -214,7 +192,7 @@ ORACLES = {
         f AS (SELECT s.height, max(coalesce(n, 0)) OVER w AS m, count(*) OVER w AS k FROM s LEFT JOIN c ON s.height = c.height WINDOW w AS (ORDER BY s.height ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) SELECT height FROM f WHERE m = 0 AND k = 3""",
     "nonce_sequence": "SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 + o_custkey % 10 AS nonce FROM orders",
     "round_robin_interleave": "WITH n AS (SELECT o_custkey AS account, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS nonce FROM orders) SELECT account, nonce, row_number() OVER (ORDER BY nonce, account) - 1 AS position FROM n",
-    "split_ranges": "SELECT o_orderkey // 1000 AS batch, CASE WHEN o_orderkey < 15001 % 7 * (15001 // 7 + 1) THEN o_orderkey // (15001 // 7 + 1) ELSE 15001 % 7 + (o_orderkey - 15001 % 7 * (15001 // 7 + 1)) // (15001 // 7) END AS part, count(*) AS n FROM orders GROUP BY 1, 2",
+    "split_ranges": "WITH t AS (SELECT (max(o_orderkey) + 1) // 7 AS s, (max(o_orderkey) + 1) % 7 AS m FROM orders) SELECT o_orderkey // 1000 AS batch, CASE WHEN o_orderkey < m * (s + 1) THEN o_orderkey // (s + 1) ELSE m + (o_orderkey - m * (s + 1)) // s END AS part, count(*) AS n FROM orders, t GROUP BY 1, 2",
     "batch_fee_sum": "SELECT l_orderkey, CAST(CAST(sum(CAST(l_quantity AS BIGINT) * CAST(round(l_extendedprice, 2) AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS VARCHAR) AS fee, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS gas FROM lineitem GROUP BY 1",
     "peer_cross": "SELECT a.n_name AS peer, string_agg(b.n_name, ',' ORDER BY b.n_name) AS others FROM nation a JOIN nation b ON a.n_name <> b.n_name GROUP BY 1",
     "duplicate_events": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",

@@ -48,12 +48,7 @@ def _positional_lookup(spark, sf_dir, orders):
 
 
 def positional_left_lookup(spark, sf_dir):
-    """Names of a list of keys per order status: order and duplicates stay, unknown keys are ''."""
-    return _positional_lookup(spark, sf_dir, table(spark, sf_dir, "orders").where("o_orderkey <= 300"))
-
-
-def positional_left_lookup_all(spark, sf_dir):
-    """``positional_left_lookup`` for every order."""
+    """Names of a list of keys per order: order and duplicates stay, unknown keys are ''."""
     return _positional_lookup(spark, sf_dir, table(spark, sf_dir, "orders"))
 
 
@@ -163,11 +158,6 @@ def _mempool(orders):
 
 
 def mempool_order(spark, sf_dir):
-    return _mempool(table(spark, sf_dir, "orders").where("o_custkey <= 50"))
-
-
-def mempool_order_all(spark, sf_dir):
-    """``mempool_order`` of every sender."""
     return _mempool(table(spark, sf_dir, "orders"))
 
 
@@ -234,9 +224,9 @@ def gas_required(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    denom_lookup_preferred, reverse_lookup, mappings_of_kind, positional_left_lookup, positional_left_lookup_all, validators_with_keys, permission_mask, any_permission, upsert_last_wins, migration_default,
+    denom_lookup_preferred, reverse_lookup, mappings_of_kind, positional_left_lookup, validators_with_keys, permission_mask, any_permission, upsert_last_wins, migration_default,
     state_as_of, changeset_fold, version_intervals, blocklist_semi, blocklist_anti, blocklist_except, proposal_filter, block_accept, block_all_valid, blocklist_digest, fee_bump,
-    mempool_order, mempool_order_all, fork_at, scale_amounts, coin_merge, coins_parse, token_balances, overdrawn_operations, denom_kinds, gas_required,
+    mempool_order, fork_at, scale_amounts, coin_merge, coins_parse, token_balances, overdrawn_operations, denom_kinds, gas_required,
 )} | {"snake_case": snake_case_names}
 
 _PROPOSALS_SQL = """
@@ -248,7 +238,7 @@ ORACLES = {
     "denom_lookup_preferred": f"WITH {_MAPPINGS_SQL} SELECT n_nationkey AS denom, e.contract AS external, a.contract AS auto, coalesce(e.contract, a.contract) AS contract FROM nation LEFT JOIN ext e ON n_nationkey = e.denom LEFT JOIN auto a ON n_nationkey = a.denom",
     "reverse_lookup": f"WITH {_MAPPINGS_SQL}, r AS (SELECT * FROM ext UNION ALL SELECT * FROM auto) SELECT o_orderkey, o_custkey AS contract, denom AS found_denom FROM orders JOIN r ON o_custkey = contract",
     "mappings_of_kind": f"WITH {_MAPPINGS_SQL} SELECT denom, 'auto' AS kind, contract FROM auto",
-    "positional_left_lookup": """WITH a AS (SELECT o_orderkey, unnest([0, 1, 2, 3]) AS position, unnest([o_custkey, o_custkey + 1000000, o_custkey, o_orderkey]) AS address FROM orders WHERE o_orderkey <= 300)
+    "positional_left_lookup": """WITH a AS (SELECT o_orderkey, unnest([0, 1, 2, 3]) AS position, unnest([o_custkey, o_custkey + 1000000, o_custkey, o_orderkey]) AS address FROM orders)
         SELECT o_orderkey, CAST(position AS INTEGER) AS position, address, coalesce(c_name, '') AS key FROM a LEFT JOIN customer ON address = c_custkey""",
     "validators_with_keys": "SELECT s_suppkey AS address, s_nationkey AS power, c_name AS key, c_name IS NOT NULL AS has_key FROM supplier LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) c ON s_suppkey = c_custkey",
     "permission_mask": "SELECT p_partkey, p_size & 1 = 1 AS can_change_token_mapping, p_size & 2 = 2 AS can_turn_bridge, p_size & 3 = 3 AS has_all FROM part",
@@ -268,7 +258,7 @@ ORACLES = {
     "blocklist_digest": "SELECT c_nationkey, sha256(string_agg(c_name, '' ORDER BY c_name)) AS digest, count(*) AS n FROM customer GROUP BY 1",
     "fee_bump": "SELECT p_partkey, (p_partkey * 7) % 60 >= (p_size * 110) // 100 AS replaces FROM part",
     "mempool_order": """SELECT o_custkey AS sender, o_orderkey AS nonce, min(CAST(floor(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS effective
-        FROM orders WHERE o_custkey <= 50""",
+        FROM orders""",
     "fork_at": "SELECT n_nationkey AS position, CAST(n_regionkey * 10 AS BIGINT) AS height, 'main' AS chain_id FROM nation WHERE n_regionkey = 2 ORDER BY n_nationkey LIMIT 1",
     "scale_amounts": f"SELECT o_orderkey, CAST({_A} * 10000000000 AS VARCHAR) AS up, CAST({_A} % 10000000000 AS VARCHAR) AS rest, CAST({_A} // 10000000000 AS VARCHAR) AS down, CAST(nullif({_A} - {_A} % 10000000000, 0) AS VARCHAR) AS burn FROM orders",
     "coin_merge": "WITH s AS (SELECT l_orderkey, l_returnflag AS d, sum(CAST(l_quantity AS BIGINT)) AS a FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, string_agg(CAST(a AS VARCHAR) || d, ',' ORDER BY d) AS coins FROM s GROUP BY 1",

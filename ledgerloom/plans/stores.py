@@ -130,11 +130,6 @@ def _prefix_join(lines):
 
 def prefix_range_join(spark, sf_dir):
     """Events of a transaction by hash, height and an index that starts with its own."""
-    return _prefix_join(table(spark, sf_dir, "lineitem").where("l_orderkey <= 2000"))
-
-
-def prefix_range_join_all(spark, sf_dir):
-    """``prefix_range_join`` of every order."""
     return _prefix_join(table(spark, sf_dir, "lineitem"))
 
 
@@ -169,7 +164,7 @@ def rollback_version(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     kv_full_scan_count, kv_prefix_scan, height_extract, tx_key_parse, height_range_filter, height_in_list, height_open_ended, height_missing_policy,
-    lexical_vs_numeric_order, migrate_verify, migrate_classes, patch_skip, patch_replace, patch_three_pass, prefix_range_join, prefix_range_join_all, point_get, total_stats,
+    lexical_vs_numeric_order, migrate_verify, migrate_classes, patch_skip, patch_replace, patch_three_pass, prefix_range_join, point_get, total_stats,
     progress_ratio, hash_validate, rollback_version,
 )}
 
@@ -195,7 +190,7 @@ ORACLES = {
     "patch_replace": f"WITH {_PERTURBED_SQL} {_MERGE.format(won='CASE WHEN s.key IS NOT NULL THEN s.value ELSE t.value END')}",
     "patch_three_pass": """WITH f AS (SELECT * FROM orders WHERE o_orderkey BETWEEN 100 AND 900), s AS (SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM f)), t AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM s))
         SELECT o_orderkey AS id, 'height' AS family FROM f UNION ALL SELECT c_custkey, 'result' FROM s UNION ALL SELECT CAST(n_nationkey AS BIGINT), 'eth_event' FROM t""",
-    "prefix_range_join": """WITH l AS (SELECT DISTINCT l_orderkey, l_suppkey AS idx FROM lineitem WHERE l_orderkey <= 2000)
+    "prefix_range_join": """WITH l AS (SELECT DISTINCT l_orderkey, l_suppkey AS idx FROM lineitem)
         SELECT t.l_orderkey AS height, t.idx AS tx_index, e.idx AS event_index FROM l e JOIN l t ON e.l_orderkey = t.l_orderkey AND t.idx < 10 AND starts_with(CAST(e.idx AS VARCHAR), CAST(t.idx AS VARCHAR))""",
     "point_get": "SELECT o_orderkey AS key, o_orderstatus FROM orders WHERE o_orderkey % 1000 = 7",
     "total_stats": """WITH s AS (SELECT l_returnflag AS db, count(*) AS total, count(*) FILTER (l_linestatus = 'O') AS processed, count(*) FILTER (l_tax > 0.07) AS errors FROM lineitem GROUP BY 1)

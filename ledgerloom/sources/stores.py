@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +26,21 @@ def write_store(rows: DataFrame, path: str) -> None:
     rows.repartitionByRange("db", "key_text").sortWithinPartitions("db", "key_text").write.mode("overwrite").partitionBy("db").option("compression", "zstd").parquet(path)
 
 
+def open_with_retry(open_store, *, tries: int = 5, first_wait: float = 0.05):
+    """What ``open_store()`` gives, tried again after errors of the file system; waits double."""
+    import time
+
+    from pyspark.errors import PySparkException
+
+    for attempt in range(tries):
+        try:
+            return open_store()
+        except (OSError, PySparkException):
+            if attempt == tries - 1:
+                raise
+            time.sleep(first_wait * 2**attempt)
+
+
 def stage_then_publish(rows: DataFrame, path: str) -> str:
     """Write beside the target and rename once complete; a failed write leaves the target as it was."""
     spark = rows.sparkSession
@@ -158,31 +172,52 @@ class _Heights(InputPartition):
         self.low, self.high = low, high
 
 
+def _reply(url: str, kind: str, height: int) -> dict:
+    """A node's reply about a block: from a folder of replies (any URL that pyarrow opens), or by HTTP."""
+    if not url.startswith(("http:", "https:")):
+        from pyarrow import fs
+
+        files, folder = fs.FileSystem.from_uri(url)
+        with files.open_input_stream(f"{folder.rstrip('/')}/{height}.json") as f:
+            return json.loads(f.read())
+    from urllib.request import Request, urlopen
+
+    if kind == "eth":
+        body = json.dumps({"jsonrpc": "2.0", "id": 1, "method": "eth_getBlockByNumber", "params": [hex(height), False]}).encode()
+        request = Request(url, body, {"Content-Type": "application/json"})  # noqa: S310
+    else:
+        request = Request(f"{url}/block?height={height}")  # noqa: S310
+    with urlopen(request) as reply:  # noqa: S310
+        return json.loads(reply.read())
+
+
 class _BlockReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.url, self.low, self.high = options["url"], int(options["from"]), int(options["to"])
-        self.size = int(options.get("perPartition", "1000"))
+        self.size, self.kind = int(options.get("perPartition", "1000")), options.get("kind", "comet")
+        if self.kind not in ("comet", "eth"):
+            raise ValueError(f"unknown kind of node: {self.kind!r}")
 
     def partitions(self):
         return [_Heights(a, min(a + self.size - 1, self.high)) for a in range(self.low, self.high + 1, self.size)]
 
     def read(self, partition):
-        from urllib.request import urlopen
+        from datetime import datetime, timezone
 
         for height in range(partition.low, partition.high + 1):
-            if self.url.startswith("file:"):
-                text = Path(self.url[5:], f"{height}.json").read_text()
+            result = _reply(self.url, self.kind, height)["result"]
+            if self.kind == "eth":
+                time = datetime.fromtimestamp(int(result["timestamp"], 16), timezone.utc).isoformat()
+                yield int(result["number"], 16), time, [t if isinstance(t, str) else t["hash"] for t in result["transactions"]]
             else:
-                with urlopen(f"{self.url}/block?height={height}") as reply:  # noqa: S310
-                    text = reply.read().decode()
-            block = json.loads(text)["result"]["block"]
-            yield height, block["header"]["time"], [str(t) for t in block["data"]["txs"] or []]
+                block = result["block"]
+                yield height, block["header"]["time"], [str(t) for t in block["data"]["txs"] or []]
 
 
 class BlockSource(DataSource):
-    """Blocks of a node's RPC (or a folder of its replies), by ranges of heights.
+    """Blocks of a node's RPC (or of a folder of its replies), by ranges of heights.
 
-    Options: url, from, to, perPartition. Spark retries a range that fails.
+    Options: url, kind (comet, or eth for ``eth_getBlockByNumber``), from, to, perPartition. Spark retries a range that fails.
     """
 
     @classmethod
@@ -200,4 +235,4 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BlockSource)
 
 
-__all__ = ["DATABASES", "BlockSource", "block_by", "broadcast_txs", "export_genesis", "genesis_mappings", "invalid_mappings", "load_txs", "merge_genesis", "patch_config", "read_genesis", "read_store", "register", "save_txs", "stage_then_publish", "write_store", "zero_height"]
+__all__ = ["DATABASES", "BlockSource", "block_by", "broadcast_txs", "export_genesis", "genesis_mappings", "invalid_mappings", "load_txs", "merge_genesis", "open_with_retry", "patch_config", "read_genesis", "read_store", "register", "save_txs", "stage_then_publish", "write_store", "zero_height"]

@@ -68,10 +68,12 @@ class PollingFilters:
         self.spark, self.folder, self.stream, self.batch = spark, folder.rstrip("/"), stream, batch
         self.installed: dict[str, tuple] = {}
         self.polls: dict[str, int] = {}
+        self.issued = 0  # ids are not given out twice: a filter's folder and checkpoint are its own
 
     def install(self, select) -> str:
         """``select`` takes rows (streaming or not) to what the filter delivers. Starts at what comes next."""
-        which = f"0x{len(self.installed) + 1:x}"
+        self.issued += 1
+        which = f"0x{self.issued:x}"
         self.installed[which], self.polls[which] = (select,), 0
         self.changes(which)
         return which
@@ -182,6 +184,11 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def first_block_at(blocks: DataFrame, when) -> DataFrame:
+    """The first block at or after a time: what waiting for that time ends with. No row while it has not come."""
+    return blocks.where(F.col("ts") >= when).agg(F.min_by(F.struct(*blocks.columns), F.col("height")).alias("b")).where("b is not null").select("b.*")
+
+
 def replay_changes(table: DataFrame | None, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """State after one more batch of change-set rows."""
     from ..operators.lookups import fold_changes
@@ -195,3 +202,28 @@ def convert_packets(packets: DataFrame) -> DataFrame:
     back = (F.col("kind") == "timeout") | ((F.col("kind") == "acknowledgement") & ~F.col("success"))
     to = F.when(back, F.col("sender")).when(F.col("kind") == "receive", F.col("receiver"))
     return packets.withColumn("credited", to).where("credited is not null")
+
+
+def packet_denom(packets: DataFrame) -> DataFrame:
+    """Packets (kind, success, base, trace, source_port, source_channel, port, channel) with the ``denom`` credited here.
+
+    A received coin loses the hop it came back by, or gets this end's hop before its trace; a refunded one keeps its trace.
+    """
+    from ..operators.events import received_trace, voucher
+
+    received = received_trace(F.col("trace"), F.col("source_port"), F.col("source_channel"), F.col("port"), F.col("channel"))
+    return packets.withColumn("denom", voucher(F.when(F.col("kind") == "receive", received).otherwise(F.col("trace")), F.col("base")))
+
+
+def converted_packets(packets: DataFrame, mappings: DataFrame, *, base_denom: str, evm_denom: str, denoms) -> tuple[DataFrame, DataFrame]:
+    """(ledger entries, rejected) of the coins that packets credit, converted as vouchers of the credited address.
+
+    Coins that cannot be converted (no base voucher, and no contract for their denomination) stay as they are: they
+    are in neither result.
+    """
+    from ..operators.ledger import vouchers_to_evm
+    from ..operators.lookups import contracts_of
+
+    credited = convert_packets(packet_denom(packets)).select("seq", F.col("credited").alias("address"), "denom", F.col("amount").cast("decimal(38,0)").alias("amount"))
+    met = contracts_of(credited, mappings).drop("external", "auto")
+    return vouchers_to_evm(met.where((F.col("denom") == base_denom) | F.col("contract").isNotNull()), base_denom=base_denom, evm_denom=evm_denom, denoms=denoms)

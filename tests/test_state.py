@@ -85,9 +85,41 @@ def test_conversions_keep_supply(spark):
 
 def test_overdrawn(spark):
     ops = [(1, "mint", None, "a", 10), (2, "transfer", "a", "b", 7), (3, "burn", "a", None, 4), (4, "burn", "b", None, 7)]
-    entries = L.token_ledger(spark.createDataFrame([(s, o, "t", x, y, n) for s, o, x, y, n in ops], "seq long, op string, token string, sender string, receiver string, amount long").withColumn("amount", F.col("amount").cast("decimal(38,0)")))
-    assert [r.seq for r in L.overdrawn(entries).collect()] == [3]
-    assert {(r.address): int(r.amount) for r in L.balances(L.valid_operations(entries)).collect()} == {"a": 3}
+    rows = operations(spark, ops)
+    assert [r.seq for r in L.overdrawn(L.token_ledger(rows)).collect()] == [3]
+    assert {(r.address): int(r.amount) for r in L.balances(L.valid_operations(rows)).collect()} == {"a": 3}
+
+
+def operations(spark, ops):
+    return spark.createDataFrame([(s, o, "t", x, y, n) for s, o, x, y, n in ops], "seq long, op string, token string, sender string, receiver string, amount long").withColumn("amount", F.col("amount").cast("decimal(38,0)"))
+
+
+def applied(ops):
+    """What a contract accepts, one operation after another."""
+    balance, accepted = {}, {}
+    for seq, op, sender, receiver, n in sorted(ops, key=lambda o: o[0]):
+        fine = n is not None and n >= 0 and (op == "mint" or (op in ("burn", "transfer") and balance.get(sender, 0) >= n))
+        accepted[seq] = fine
+        if fine and op != "mint":
+            balance[sender] = balance.get(sender, 0) - n
+        if fine and op != "burn":
+            balance[receiver] = balance.get(receiver, 0) + n
+    return accepted
+
+
+def test_a_refused_operation_changes_nothing(spark):
+    ops = [(1, "mint", None, "a", 5), (2, "transfer", "a", "b", 10), (3, "transfer", "a", "b", 3), (4, "transfer", "b", "c", 10)]
+    assert {r.seq: r.accepted for r in L.guarded(operations(spark, ops)).collect()} == applied(ops) == {1: True, 2: False, 3: True, 4: False}
+    assert {r.address: int(r.amount) for r in L.balances(L.valid_operations(operations(spark, ops))).collect()} == {"a": 2, "b": 3}
+
+
+def test_guard_equals_a_loop(spark):
+    rng = random.Random(4)
+    ops = [(i, rng.choice(["mint", "burn", "transfer", "transfer", "transfer"]), rng.choice("abcde"), rng.choice("abcde"), rng.randrange(12)) for i in range(80)]
+    ops += [(300, "other", "a", "b", 1), (301, "transfer", "a", "a", 10**6), (302, "mint", None, "a", None), (303, "mint", None, "a", -3)]
+    for limit in (10**6, 0):
+        assert {r.seq: r.accepted for r in L.guarded(operations(spark, ops), fold_limit=limit, size=16).collect()} == applied(ops)
+    assert L.guarded(operations(spark, ops).where("false")).count() == 0
 
 
 def test_proposals(spark):
