@@ -65,12 +65,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one operator run under the shared folder; ``drop`` frees one that is no longer read."""
+    """Tables of one operator run under the shared folder; ``drop`` frees one that is no longer read.
+
+    Results read these tables, so an operator cannot free all of them. Who has written a result elsewhere can: ``sweep``
+    deletes what was kept since a ``mark``.
+    """
+
+    kept: list[str] = []  # roots, oldest first
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         small_batches(spark)
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        Scratch.kept.append(self.root)
+
+    @staticmethod
+    def mark() -> int:
+        return len(Scratch.kept)
+
+    @staticmethod
+    def sweep(spark: SparkSession, mark: int) -> None:
+        for root in Scratch.kept[mark:]:
+            _delete(spark, root)
+        del Scratch.kept[mark:]
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back: lineage ends in files that outlive any executor."""
@@ -79,9 +96,12 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, f"{self.root}/{name}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -151,13 +171,18 @@ class WordHashes(Memo):
         return hashlib.blake2b(key, digest_size=8).digest()
 
 
-def blocks_of(texts, chars: int = 1_000_000):
-    """Index ranges of ``texts`` that hold about ``chars`` characters each, one text at least."""
+def blocks_of_sizes(sizes, most: int = 1_000_000):
+    """Index ranges that hold about ``most`` of ``sizes`` each, one at least."""
     start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text) if text else 0
-        if held >= chars:
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= most:
             yield start, i + 1
             start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def blocks_of(texts, chars: int = 1_000_000):
+    """Index ranges of ``texts`` that hold about ``chars`` characters each, one text at least."""
+    return blocks_of_sizes([len(t) if t else 0 for t in texts], chars)
