@@ -15,8 +15,10 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+import sys
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import Memo, Scratch, held, release
 
+NATIVE = sys.byteorder == "little" and array("I").itemsize == 4  # an array of ids is bytes as they are wanted
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, slot long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -43,7 +46,7 @@ class CoreIds(Memo):
     go to the merge table directly; anything else takes the whole tokenizer.
     """
 
-    LIMIT = 80_000
+    LIMIT = 150_000
     LETTERS = _byte_letters()
 
     def __init__(self, tokenizer_json: str) -> None:
@@ -63,7 +66,11 @@ class CoreIds(Memo):
             ids = self._merge(key.lower())
         else:
             ids = self.tokenizer.encode(key, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self.pack(ids)
+
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if NATIVE else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordIds(Memo):
@@ -74,7 +81,7 @@ class WordIds(Memo):
     letter's lower case is more than letters (a dotted capital I becomes an i and a mark, which joins the punctuation).
     """
 
-    LIMIT = 220_000
+    LIMIT = 400_000
     EDGE = re.compile(r"([^\W\d_]+)([!-&(-/:-;=-@\[-`{-~]+)")  # not < either: special tokens open with it
 
     def __init__(self, tokenizer_json: str) -> None:
@@ -82,9 +89,11 @@ class WordIds(Memo):
         self.core = CoreIds(tokenizer_json)
 
     def make(self, key: str) -> bytes:
+        if key.isalpha():
+            return self.core.make(key)  # kept here under its own form
         m = self.EDGE.fullmatch(key)
         if not m or not (m[1].isascii() or m[1].lower().isalpha()):
-            return self.core.make(key)  # kept here under its own form
+            return self.core.make(key)
         word = m[1]
         return self.core[word.lower() if word.isascii() else word] + self.core[m[2]]
 
