@@ -7,8 +7,10 @@ and joins the findings back through the blob address: to the paths of the input,
 history (``BlobLedger.history``), so that a secret of an earlier version is still found under its path after
 the text has changed. Scans that run at once may add a pair twice; it counts once.
 
-Texts move once, to their blob's task, after copies within a task have been merged; what is joined back
-has no text. A blob that a third of all paths share is one row in the scan and a skew join on its way back.
+Texts are scanned where they are read; only blobs, rules and spans are shuffled. A task scans a blob once, however many
+copies it reads; copies in other tasks are scanned there, and their equal findings merge. With a ledger, blobs are
+compared with it first, without their texts, and rows with nothing new are dropped before the scan. A blob that a
+third of all paths share is one row of findings per task, and a join that Spark splits on its way back.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import Scratch, local_rows
+from .common import Scratch, local_rows, small_batches
 
 # The rules, in the order in which spans with one start are listed.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,7 +33,8 @@ ORDER = ["assign", "access", "hex"]
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
 LEDGER = "blob string, rule string, version int, spans array<struct<start:int,end:int>>"
-_SPANS = "struct<assign:array<struct<start:int,end:int>>,access:array<struct<start:int,end:int>>,hex:array<struct<start:int,end:int>>>"
+#: Unseen blobs that are broadcast to the rows that have them; more are joined by shuffle.
+MAX_BROADCAST = 500_000
 
 _assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
 _access = re.compile(ACCESS)
@@ -49,12 +52,16 @@ def find_spans(rule: str, text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _hex.finditer(text)]
 
 
-def _scan(text: pd.Series, pending: pd.Series) -> pd.DataFrame:
-    found = {rule: [] for rule in ORDER}
-    for t, todo in zip(text, pending):
-        for rule in ORDER:
-            found[rule].append([{"start": a, "end": b} for a, b in find_spans(rule, t)] if rule in todo else None)
-    return pd.DataFrame(found)
+def _scan(batches):
+    """Ledger rows of (blob, text, pending); each blob once."""
+    done: set[str] = set()
+    for pdf in batches:
+        out = []
+        for blob, text, pending in zip(pdf["blob"], pdf["text"], pdf["pending"]):
+            if blob not in done:
+                done.add(blob)
+                out += [(blob, x["rule"], x["version"], [{"start": a, "end": b} for a, b in find_spans(x["rule"], text)]) for x in pending]
+        yield pd.DataFrame(out, columns=["blob", "rule", "version", "spans"])
 
 
 def _rules(spark: SparkSession, rules: dict[str, int]) -> DataFrame:
@@ -70,18 +77,17 @@ def versions_of(docs: DataFrame, path_col: str, text_col: str) -> DataFrame:
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: dict[str, int] = RULES) -> DataFrame:
     """New ledger rows for the (blob, rule, version) pairs of ``versions`` that ``ledger`` has not."""
     spark = versions.sparkSession
-    names = [r for r in ORDER if r in rules]
-    every = F.array(*[F.lit(r) for r in names])
+    small_batches(spark)
+    every = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(rules[r]).alias("version")) for r in ORDER if r in rules])
     if ledger is None:
-        todo = versions.groupBy("blob").agg(F.first("text").alias("text")).withColumn("pending", every)
+        todo = versions.withColumn("pending", every)
     else:
         current = ledger.join(F.broadcast(_rules(spark, rules)), ["rule", "version"], "left_semi")
         seen = current.groupBy("blob").agg(F.collect_set("rule").alias("seen"))  # at most one entry per rule
-        todo = versions.groupBy("blob").agg(F.first("text").alias("text")).join(seen, "blob", "left")
-        todo = todo.withColumn("pending", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("pending") > 0)
-    scanned = todo.select("blob", F.pandas_udf(_scan, _SPANS)("text", "pending").alias("found"))
-    rows = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(rules[r]).alias("version"), F.col(f"found.{r}").alias("spans")) for r in names])
-    return scanned.select("blob", F.explode(rows).alias("r")).select("blob", "r.*").where("spans is not null")
+        new = versions.select("blob").distinct().join(seen, "blob", "left").withColumn("pending", F.filter(every, lambda x: ~F.array_contains(F.coalesce("seen", F.array().cast("array<string>")), x["rule"])))
+        new = Scratch(spark, "unseen").keep(new.where(F.size("pending") > 0).select("blob", "pending"), "blobs")
+        todo = versions.join(F.broadcast(new) if new.count() <= MAX_BROADCAST else new, "blob")
+    return todo.select("blob", "text", "pending").mapInPandas(_scan, LEDGER).dropDuplicates(["blob", "rule", "version"])
 
 
 class BlobLedger:
