@@ -7,9 +7,11 @@ is not quantised), the best ``rerank`` survivors are rescored on the original ve
 cut may have lost a neighbour (see ``_unsure``), as in a dense group whose members have the same codes, the query
 is scored exactly against all vectors.
 
-Lists are dealt into shards of about ``BLOCK`` codes, a longer list over several, and queries into blocks of as
-many; a shard scans all lists that a query probes in it and hands on its best ``rerank``. So a list with a third of
-all vectors is many tasks, and what is handed on does not follow the number of lists.
+Lists are dealt into shards of about ``BLOCK`` codes, a longer list over several. Queries are dealt into blocks of
+about ``QUERIES`` by their nearest list, lists of one direction together, so that a block probes few lists; only codes
+of lists that a block probes go to it. A task has one block and one shard, scans all lists that a query probes in it and
+hands on its best ``rerank``. So a list with a third of all vectors is many tasks, what is handed on does not follow the
+number of lists, and a task holds ``BLOCK`` codes, ``QUERIES`` vectors and ``QUERIES`` times ``rerank`` survivors.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from .common import Scratch, local_rows
 
 SAMPLE = 20_000
 BLOCK = 50_000
+QUERIES = 1000
 SEED = 5
 
 
@@ -119,6 +122,19 @@ def probes_for(index: Index, sample: np.ndarray, k: int, target: float) -> int:
     return int(np.quantile(needed, target, method="higher")) if len(needed) else 1
 
 
+def _query_blocks(index: Index, homes: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(list, first block, blocks) for the queries of each list: small lists of one direction share a block."""
+    axis = np.linalg.svd(index.centroids - index.centroids.mean(0), full_matrices=False)[2][0]
+    out, block, held = [], 0, 0
+    for x in sorted(homes, key=lambda x: float(index.centroids[x] @ axis)):
+        if held and held + homes[x] > QUERIES:
+            block, held = block + 1, 0
+        parts = -(-homes[x] // QUERIES)
+        out.append((x, block, parts))
+        block, held = (block + parts, 0) if parts > 1 else (block, held + homes[x])
+    return out
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in column])
 
@@ -197,28 +213,26 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
     counts = {r["list"]: r["count"] for r in codes.groupBy("list").count().collect()}  # a row per list
     pieces = {x: -(-n // BLOCK) for x, n in counts.items()}
     shards = max(1, -(-total // BLOCK))
-    asks = max(1, -(-asked.count() // BLOCK))
     shape = F.broadcast(local_rows(spark, list(pieces.items()), "list int, pieces int"))
     stride = 40503  # odd: neighbouring lists and pieces land in different shards
 
     def probe(batches):
         for pdf in batches:
-            out = []
-            if len(pdf):
-                q = unit(_matrix(pdf["v"]))
-                for query, row, lists in zip(pdf["query_id"], q, index.value.probe(q, probes).tolist()):
-                    at: dict[int, list[int]] = {}
-                    for x in lists:
-                        for piece in range(pieces.get(x, 0)):
-                            at.setdefault((x * stride + piece) % shards, []).append(x)
-                    out += [(query, shard, x, row.tolist()) for shard, x in at.items()]
-            yield pd.DataFrame(out, columns=["query_id", "shard", "lists", "q"])
-
-    wanted = asked.mapInPandas(probe, "query_id long, shard long, lists array<int>, q array<double>")
+            if not len(pdf):
+                continue
+            q = unit(_matrix(pdf["v"]))
+            probed = index.value.probe(q, probes)
+            places = [sorted({(x * stride + piece) % shards for x in lists for piece in range(pieces.get(x, 0))}) for lists in probed.tolist()]
+            yield pd.DataFrame({"query_id": pdf["query_id"], "home": probed[:, 0].astype(np.int32), "lists": list(probed.astype(np.int32)), "shards": places, "q": [row.tobytes() for row in q]})
+
+    wanted = scratch.keep(asked.mapInPandas(probe, "query_id long, home int, lists array<int>, shards array<long>, q binary"), "wanted")
+    homes = {r["home"]: r["count"] for r in wanted.groupBy("home").count().collect()}  # a row per list
+    asks = local_rows(spark, _query_blocks(fitted, homes), "home int, first int, parts int")
+    wanted = wanted.join(F.broadcast(asks), "home").withColumn("ask", F.col("first") + F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int")).drop("home", "first", "parts")
     piece = F.pmod(F.xxhash64("id"), F.col("pieces"))
-    left = codes.join(shape, "list").withColumn("shard", F.pmod(F.col("list") * stride + piece, F.lit(shards)).cast("long"))
-    left = left.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asks - 1)))).select("shard", "ask", "id", "list", "code")
-    right = wanted.withColumn("ask", F.pmod(F.xxhash64("query_id"), F.lit(asks)).cast("int"))
+    needed = wanted.select(F.col("ask").alias("ask"), F.explode("lists").alias("list")).distinct()
+    left = codes.join(shape, "list").withColumn("shard", F.pmod(F.col("list") * stride + piece, F.lit(shards)).cast("long")).join(needed, "list").select("shard", "ask", "id", "list", "code")
+    right = wanted.select(F.col("ask").alias("ask"), "query_id", "lists", "q", F.explode("shards").alias("shard"))
 
     def scan(codes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "id": [], "near": []}
@@ -231,9 +245,9 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
             c = np.frombuffer(b"".join(codes["code"]), np.uint8).reshape(len(ids), -1)
             places = np.arange(c.shape[1], dtype=np.int32)[None, :] * 256 + c
             for query, mine, q in zip(queries["query_id"], queries["lists"], queries["q"]):
-                q = np.asarray(q)
+                q = np.frombuffer(q)
                 table = index.value.tables(q[None, :]).ravel()
-                found = [(span[x], float(q @ index.value.centroids[x])) for x in mine if x in span]
+                found = [(span[x], float(q @ index.value.centroids[x])) for x in mine.tolist() if x in span]
                 near = np.concatenate([base + table[places[a:b]].sum(1) for (a, b), base in found]) if found else np.zeros(0)
                 which = np.concatenate([ids[a:b] for (a, b), _ in found]) if found else np.zeros(0, np.int64)
                 near, which = near[which != query], which[which != query]
