@@ -24,6 +24,7 @@ def tokenizer_path() -> str:
 
 
 def op1_patience_line_dedup(spark, sf_dir):
+    """Every document with its text less the passages it shares with earlier ones, and what went; odd rows as in ``dedup_lines``."""
     cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     span = F.transform("_cut.spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return cut.select(
@@ -33,39 +34,48 @@ def op1_patience_line_dedup(spark, sf_dir):
 
 
 def op2_secret_ledger(spark, sf_dir):
+    """Secrets of every document through a new ledger; odd rows as in ``scan_secrets``."""
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
 def op3_ivf_pq_neighbours(spark, sf_dir):
+    """The five nearest of every 50th vector among all; odd rows as in ``search``."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
 
 
 def op4_latent_decontamination(spark, sf_dir):
+    """A row per document and benchmark item it holds; odd rows as in ``find_leaks``."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("version")
 
 
 def op5_license_digests(spark, sf_dir):
+    """Every document's canonical digest and the licence that has it; odd rows as in ``scan_licenses``."""
     return scan_licenses(table(spark, sf_dir, "documents"), known_digests(spark))
 
 
 def op6_fast_similarity_sketch(spark, sf_dir):
+    """Every document's set size and group; odd rows as in ``near_duplicates``."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op7_string_kernel_language(spark, sf_dir):
+    """Every document's predicted language; odd rows as in ``identify``."""
     return identify(table(spark, sf_dir, "documents"))
 
 
 def op8_union_free_wrappers(spark, sf_dir):
+    """Every page's main text; odd rows as in ``extract_main``."""
     return extract_main(table(spark, sf_dir, "pages"))
 
 
 def op9_karmarkar_karp_packing(spark, sf_dir):
+    """Every document's pieces in sequences of 4096; odd rows as in ``pack_documents``."""
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op10_url_rules(spark, sf_dir):
+    """Every page's host, path, rule and verdict; odd rows as in ``filter_urls``."""
     return filter_urls(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
