@@ -84,7 +84,7 @@ def words(seed, n):
     return ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     filler = lambda seed, n: " ".join(random.Random(seed).choice(["the", "of", "and", "in", *words(seed % 7, 40)]) for _ in range(n))
     items = [(k, " ".join(words(100 + k, 12 + 3 * k))) for k in range(12)] + [(90, None), (91, ""), (92, "...")]
     rows = [(i, filler(i, 30 + 7 * i)) for i in range(40)]
@@ -101,6 +101,10 @@ def test_leaks(spark):
     assert sum(r.doc_id == 303 for r in got) == 2
     blocks = decontaminate.find_leaks(docs, benchmark, block_items=5)
     assert sorted({(r.doc_id if r.doc_id is not None else -1, r.item_id) for r in blocks.collect()}) == found
+    monkeypatch.setattr(decontaminate, "GROUP", 1)
+    monkeypatch.setattr(decontaminate, "FAN", 2)
+    blocks = decontaminate.find_leaks(docs.repartition(5), benchmark, block_items=5)
+    assert sorted({(r.doc_id if r.doc_id is not None else -1, r.item_id) for r in blocks.collect()}) == found
     kept = decontaminate.without_leaks(docs, benchmark)
     assert kept.columns == docs.columns
     bad = {i for i, _ in found}
@@ -142,10 +146,7 @@ def test_no_pair_that_would_be_confirmed_is_refused_before():
     rng = random.Random(4)
     items = [[rng.choice("abcdefghijklmnop") for _ in range(n)] for n in (1, 2, 5, 9, 17, 33, 50, 90)]
     block = decontaminate.vocabulary_of(list(range(len(items))), [" ".join(i) for i in items])
-    block.within = np.zeros((len(block.vocabulary) + 1, len(items)), np.uint8)
-    for k, numbers in enumerate(block.items):
-        block.within[numbers, k] = 1
-        block.masks.append((decontaminate._masks(numbers), decontaminate._masks(numbers[-4:]), len(numbers[-4:])))
+    block.set_items()
     for item in items:
         texts = []
         for _ in range(20):
@@ -162,6 +163,51 @@ def test_no_pair_that_would_be_confirmed_is_refused_before():
         assert not fits.all()
 
 
+def common(a, b):
+    """Longest common subsequence by the textbook."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def leaks_brute(rows, items):
+    """Every stretch of one and a half times an item's words, without any retrieval."""
+    found = set()
+    for i, text in rows:
+        words_ = text.lower().split()
+        for k, item in items:
+            item = item.split()
+            n, span, tail = len(item), len(item) * 3 // 2, item[-max(4, len(item) // 4) :]
+            for at in range(len(words_)):
+                part = words_[at : at + span]
+                if sum(w in item for w in part) >= 0.6 * n:
+                    whole = common(item, part) / n
+                    if whole >= 0.8 or (whole >= 0.6 and common(tail, part) / len(tail) >= 0.75):
+                        found.add((i, k))
+                        break
+    return found
+
+
+def test_leaks_against_brute_force_over_all_pairs(spark):
+    rng = random.Random(12)
+    usual = words(900, 30)
+    items = [(k, " ".join(rng.choice(usual) if rng.random() < 0.5 else w for w in words(1000 + k, rng.randrange(8, 45)))) for k in range(15)]
+    rows = []
+    for i in range(90):
+        kept, (k, item) = rng.random() * 0.5 + 0.5, rng.choice(items)
+        body = item.split()
+        cut = len(body) - max(4, len(body) // 4)
+        loose = [w if j >= cut or rng.random() < kept else rng.choice([*usual, "", "new"]) for j, w in enumerate(body)]
+        around = lambda: [rng.choice([*usual, *words(rng.randrange(50), 3)]) for _ in range(rng.randrange(120))]
+        rows.append((i, " ".join(w for w in [*around(), *loose, *around()] if w)))
+    want, got = leaks_brute(rows, items), set(leaks(spark, rows, items))
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) > 40
+
+
 def test_lcs_is_exact():
     rng = random.Random(6)
     for _ in range(100):
@@ -223,6 +269,63 @@ def test_copies_of_a_hosts_pages_do_not_keep_it_from_a_wrapper(spark):
     assert sorted((r.page_id, r.text) for r in got) == [(k, f"Story {k}\nBody {k}") for k in range(6)]
 
 
+def test_the_wrapper_finds_the_article_that_no_name_tells():
+    """Varying texts around it would be kept without the wrapper."""
+    rng = random.Random(5)
+    story = lambda k, i: " ".join(words(100 * k + i, 25))
+    pages, want = [], []
+    for k in range(8):
+        n = 2 + k % 4
+        body = "".join(f"<p>{story(k, i)}</p>" for i in range(n))
+        more = "<p>Read on</p>" if k % 2 else ""
+        pages.append(f"<html><body><div class=top><p>Visit {rng.random()}</p></div><div class=c1><h2>Title {k}</h2><div class=c2>{body}{more}<p>Printed by us</p></div></div><div class=end><p>Seen {rng.random()}</p></div></body></html>")
+        want.append("\n".join([f"Title {k}", *(story(k, i) for i in range(n)), *(["Read on"] if k % 2 else [])]))
+    wrapper = html_extract.Wrapper(html_extract.infer(pages))
+    assert [html_extract.extract(p, wrapper) for p in pages] == want
+    assert all(html_extract.extract(p, None) != x for p, x in zip(pages, want))
+
+
+def test_a_host_of_near_copies_has_no_template():
+    paragraphs = [" ".join(words(k, 20)) for k in range(12)]
+    pages = []
+    for k in range(10):
+        own = [" ".join(words(500 + k, 20)) if i == k else p for i, p in enumerate(paragraphs)]
+        pages.append("<html><body><div class=date>" + f"Day {k}" + "</div><article>" + "".join(f"<p>{p}</p>" for p in own) + "</article></body></html>")
+    wrapper = html_extract.Wrapper(html_extract.infer(pages))
+    for k, p in enumerate(pages):
+        assert html_extract.extract(p, wrapper) == "\n".join(" ".join(words(500 + k, 20)) if i == k else x for i, x in enumerate(paragraphs))
+    copies = [f"<html><body><div>Day {k}</div><div class=b><p>{paragraphs[0]}</p><p>{paragraphs[1]}</p></div></body></html>" for k in range(3)]
+    wrapper = html_extract.Wrapper(html_extract.infer(copies))
+    assert all("\n".join(paragraphs[:2]) in html_extract.extract(p, wrapper) for p in copies)
+
+
+def test_text_in_an_article_is_not_dropped_for_a_word_in_a_name():
+    inside = '<h2 id="share-price">Price</h2><div class="section-header"><h2>Section</h2></div><p class="notice-period">Notice</p><p>x <math><mi>a</mi><mo>+</mo></math> y</p><object>kept</object><div class="card-footer">foot</div>'
+    outside = '<div class="ad-slot">Buy</div><div class="share-buttons">Tell</div><ul class="related-posts"><li>More</li></ul><div class="comments-area"><p>First</p></div><div class="cookie-notice">Ok</div><aside>side</aside>'
+    html = f"<html><body><nav>menu</nav><article><h1>Title</h1>{inside}{outside}<p>End</p></article></body></html>"
+    want = "Title\nPrice\nSection\nNotice\nx a+ y\nkept\nfoot\nEnd"
+    assert html_extract.extract(html, None) == want
+    other = html.replace("Title", "Other title").replace("Price", "Cost")
+    wrapper = html_extract.Wrapper(html_extract.infer([html, other]))
+    assert html_extract.extract(html, wrapper) == want
+
+
+def test_alignment_is_longest_and_long_streams_are_cut(monkeypatch):
+    rng = random.Random(3)
+    for _ in range(100):
+        a, b = ("".join(rng.choice("abcdef") for _ in range(rng.randrange(30))) for _ in range(2))
+        pairs = html_extract._pairs(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert len(pairs) == common(a, b)
+    monkeypatch.setattr(html_extract, "TABLE", 50)
+    for _ in range(100):
+        a, b = ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(60))) for _ in range(2))
+        pairs = html_extract._pairs(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+    long = [f"<html><body><article>{''.join(f'<p>{k} {i}</p><h3>{i}</h3><div class=x{i % 7}>{i}</div>' for i in range(900 + k))}</article></body></html>" for k in range(2)]
+    assert html_extract.Wrapper(html_extract.infer(long)).region(html_extract.read(long[1]))
+
+
 @pytest.mark.parametrize("html", ["<", "<p", "<a href='x", "</p></p>", "<p>&#xZZ; &nosuch; &lt;b&gt;", "<!-- open", "<script>never closed", "<li><li><li>", "<p>" * 3000, "<div>" * 3000, "< notag >"])
 def test_broken_html_does_not_fail(html):
     html_extract.extract(html, None)

@@ -169,6 +169,48 @@ def test_language_learns_and_says_und(spark):
     assert {r.lang_pred for r in language_id.identify(frame.where("lang is null")).collect()} == {"und"}
 
 
+def test_predictions_equal_kernel_ridge_written_out():
+    """Unhashed n-grams, a kernel matrix and landmarks, one text at a time."""
+    rng = np.random.default_rng(9)
+    stems = {"en": "the of and with thing tion er is".split(), "fr": "le la \u00e9 \u00e8re eaux tion des un".split(), "de": "der die und ung sch \u00fcber ein".split()}
+    text = lambda lang, n: " ".join("".join(rng.choice(stems[lang], rng.integers(1, 3))) for _ in range(n))
+    labels = [["en", "fr", "de"][i % 3] for i in range(90)]
+    texts = [text(lang, int(rng.integers(2, 40))) + (" 12-3!" if i % 4 == 0 else "") for i, lang in enumerate(labels)]
+    asked = [text(lang, 12) for lang in ("en", "fr", "de") * 10] + [text("en", 5) + " " + text("fr", 5)]
+
+    def grams(t):
+        letters = " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split())
+        letters = f" {letters} "
+        return {letters[i : i + n] for n in range(1, language_id.ORDER + 1) for i in range(len(letters) - n + 1)}
+
+    sets, marks = [grams(t) for t in texts], 60
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b))
+    share, taken, chosen = marks // 3, {}, []
+    for i, lang in enumerate(labels):
+        if taken.get(lang, 0) < share:
+            taken[lang] = taken.get(lang, 0) + 1
+            chosen.append(i)
+    names = sorted(set(labels))
+    k_nm = np.array([[kernel(s, sets[j]) for j in chosen] for s in sets])
+    k_mm = np.array([[kernel(sets[i], sets[j]) for j in chosen] for i in chosen])
+    target = np.array([[1.0 if lang == n else -1.0 for n in names] for lang in labels])
+    weights = np.linalg.solve(k_nm.T @ k_nm + 1e-4 * len(sets) * k_mm + 1e-8 * len(sets) * np.eye(len(chosen)), k_nm.T @ target)
+    want = np.array([[kernel(grams(t), sets[j]) for j in chosen] for t in asked]) @ weights
+    bits = np.zeros(language_id.BUCKETS, bool)
+    model = language_id.solve([language_id.present(t, bits) for t in texts], labels, marks, 1e-4)
+    got, scores = model.score(asked)
+    assert got == [names[i] for i in want.argmax(1)]
+    assert np.abs(np.array(scores) - np.clip((1 + want.max(1)) / 2, 0, 1)).max() < 0.05  # hashed n-grams may meet
+
+
+def test_the_sample_is_bounded_and_skips_texts_without_letters(spark):
+    rows = [(i, "123" if i % 2 else f"the thing {i}", "en") for i in range(400)] + [(1000 + i, f"la chose {i}", "fr") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(frame, per_language=40, most=60)
+    assert model.languages == ["en", "fr"]
+    assert model.score(["the thing", "la chose"])[0] == ["en", "fr"]
+
+
 def test_presence_is_the_set_of_ngrams():
     bits = np.zeros(language_id.BUCKETS, bool)
     assert len(language_id.present("abc", bits)) == 4 + 4 + 3 + 2  # " abc ": space, a, b, c; then longer ones
