@@ -92,9 +92,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written to the shared folder and read again."""
+    """All stages over ``documents``; each but the last is written to the shared folder and read again.
+
+    What a stage kept for itself, and its predecessor's documents, go once its own are written.
+    """
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
+        mark = Scratch.mark()
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        Scratch.sweep(spark, mark)
+        if last:
+            scratch.drop(last)
+        last = name
     return STAGES[-1][1](spark, docs, sf_dir)
