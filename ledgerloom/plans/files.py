@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.denoms import Denoms
 from ..operators import migrate as M
 from ..sources import stores as Q
+from ..sources.leveldb import write_leveldb
 from .streams import _work
 from .tables import local_rows, table
 
@@ -79,6 +80,14 @@ def store_export(spark, sf_dir):
     return M.prefix_scan(Q.read_store(spark, f"{work}/export", "state"), ["k/1"]).select("key_text", F.col("value").cast("string").alias("value"))
 
 
+def leveldb_store(spark, sf_dir):
+    """A LevelDB folder written from a table, with a log that overwrites and deletes, and read by its file format."""
+    path = f"{_work(spark)}/state.db"
+    rows = table(spark, sf_dir, "orders").select(F.concat_ws("/", F.lit("k"), F.col("o_orderkey").cast("string")).cast("binary").alias("key"), F.col("o_orderpriority").cast("binary").alias("value"))
+    write_leveldb(rows, path, log=[(b"k/7", b"seven"), (b"k/8", None), (b"k/9", None), (b"k/9", b"nine"), (b"new", b"")])
+    return Q.read_store(spark, path.removesuffix("/state.db"), "state", "leveldb").select("key_text", F.col("value").cast("string").alias("value"))
+
+
 def migrated_databases(spark, sf_dir):
     """Databases copied and verified, with the rows that the target refuses."""
     o = table(spark, sf_dir, "orders")
@@ -115,7 +124,7 @@ def broadcast_counts(spark, sf_dir):
     return local_rows(spark, [(sent.value, failed.value)], "sent long, failed long")
 
 
-QUERIES = {f.__name__: f for f in (genesis_round_trip, zero_height_export, tx_files, staged_store, store_export, migrated_databases, block_replies, broadcast_counts)}
+QUERIES = {f.__name__: f for f in (genesis_round_trip, zero_height_export, tx_files, staged_store, store_export, leveldb_store, migrated_databases, block_replies, broadcast_counts)}
 
 ORACLES = {
     "genesis_round_trip": """SELECT CASE WHEN n_nationkey % 5 = 4 THEN n_name ELSE 'ibc/' || upper(sha256(n_name)) END AS denom, CASE WHEN n_nationkey % 2 = 0 THEN 'external' ELSE 'auto' END AS kind,
@@ -124,6 +133,7 @@ ORACLES = {
     "tx_files": "SELECT o_orderkey, o_orderstatus || '/' || o_orderpriority AS tx, true AS missing FROM orders",
     "staged_store": "SELECT s_name AS key_text, CAST(s_suppkey AS VARCHAR) AS value, false AS twice FROM supplier",
     "store_export": "SELECT 'k/' || CAST(o_orderkey AS VARCHAR) AS key_text, o_orderstatus AS value FROM orders WHERE o_orderkey % 2 = 0 AND starts_with(CAST(o_orderkey AS VARCHAR), '1')",
+    "leveldb_store": """SELECT 'k/' || CAST(o_orderkey AS VARCHAR) AS key_text, CASE o_orderkey WHEN 7 THEN 'seven' WHEN 9 THEN 'nine' ELSE o_orderpriority END AS value FROM orders WHERE o_orderkey <> 8 UNION ALL SELECT 'new', ''""",
     "migrated_databases": "SELECT CASE o_orderstatus WHEN 'F' THEN 'state' ELSE 'evidence' END AS db, count(*) AS total, count(*) FILTER (o_orderkey % 50 <> 3) AS processed, count(*) FILTER (o_orderkey % 50 = 3) AS errors, 0::BIGINT AS mismatches FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1",
     "block_replies": "SELECT unnest(['comet', 'eth']) AS kind, CAST(n_nationkey AS BIGINT) AS height, 1704067200 + n_nationkey AS ts, CAST(n_nationkey % 3 AS BIGINT) AS n_txs FROM nation",
     "broadcast_counts": "SELECT count(*) AS sent, count(*) FILTER (o_orderkey % 3 = 0) AS failed FROM orders",

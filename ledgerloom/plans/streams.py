@@ -15,8 +15,10 @@ from .tables import table
 
 
 def _work(spark) -> str:
-    """A folder that driver and executors share."""
+    """A folder that driver and executors share; on a cluster it must be named, locally the warehouse will do."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{(shared or spark.conf.get('spark.sql.warehouse.dir') + '/_streams').rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
 
 

@@ -13,12 +13,18 @@ from ..functions.keys import DATABASES, parse_backend
 
 
 def read_store(spark: SparkSession, path: str, db: str | None = None, backend: str = "parquet") -> DataFrame:
-    """A store export; ``db`` prunes the partition. Other engines need a reader registered under their name."""
+    """A store export (``db`` prunes the partition), or a database folder ``<db>.db`` of a storage engine.
+
+    LevelDB folders are read by their file format; for RocksDB a reader must be registered under its name.
+    """
     kind = parse_backend(backend)
+    if kind == "goleveldb":
+        from .leveldb import read_leveldb
+
+        return read_leveldb(spark, f"{path}/{db}.db" if db else path)
     if kind != "parquet":
         return spark.read.format(f"ledgerloom_{kind}").option("db", db or "").load(path)
-    rows = spark.read.schema(schemas.STORE if db is None else schemas.KEY_VALUE).parquet(path if db is None else f"{path}/db={db}")
-    return rows
+    return spark.read.schema(schemas.STORE if db is None else schemas.KEY_VALUE).parquet(path if db is None else f"{path}/db={db}")
 
 
 def write_store(rows: DataFrame, path: str) -> None:

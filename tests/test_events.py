@@ -191,3 +191,27 @@ def test_subscription_ends_once(spark, tmp_path):
 def test_packets(spark):
     rows = spark.createDataFrame([("receive", True), ("acknowledgement", True), ("acknowledgement", False), ("timeout", True)], "kind string, success boolean").withColumn("sender", F.lit("s")).withColumn("receiver", F.lit("r"))
     assert sorted((r.kind, r.credited) for r in T.convert_packets(rows).collect()) == [("acknowledgement", "s"), ("receive", "r"), ("timeout", "s")]
+
+
+def test_a_silent_chain_is_halted(spark, tmp_path):
+    """The timer of the idle detector: no block for half a second."""
+    import time
+
+    from ledgerloom.streaming import streams as T
+
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    T.use_rocksdb(spark)
+    path, schema = str(tmp_path / "blocks"), "chain long, height long, n_txs long"
+    spark.createDataFrame([(1, 5, 0), (1, 6, 0)], schema).coalesce(1).write.parquet(path)
+    found = []
+    stream = T.detect_idle(T.read_stream(spark, path, schema), run=2, halt_ms=500)
+    query = T.follow(stream, lambda rows, number: found.extend(rows.collect()), str(tmp_path / "checkpoint"), every="200 milliseconds")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not any(r.halted for r in found):
+            time.sleep(0.2)
+    finally:
+        query.stop()
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    assert [(r.height, r.empty_run, r.idle) for r in found if not r.halted] == [(5, 1, False), (6, 2, True)]
+    assert [(r.chain, r.height, r.halted) for r in found if r.halted] == [(1, 6, True)]
