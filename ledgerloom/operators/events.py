@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.denoms import snake, snake_case
-from ..functions.encoding import abi_pack, bech32_decode, decoded_base64, keccak256, parse_address, topic_word
+from ..functions.encoding import abi_pack, bech32_decode, decoded_base64, keccak256, keccak_many, parse_address, topic_word
 
 MOST_INDEXED = 3
 
@@ -169,24 +169,31 @@ class Converter:
             out += decode(attrs[name], indexed)
         return out
 
-    def convert(self, kind: str, attributes) -> tuple[list[bytes], list] | None:
-        """(topics, values of the data), or None for an unknown type."""
+    def parts(self, kind: str, attributes) -> tuple[list, list] | None:
+        """(topics, values of the data), or None for an unknown type. A topic that is a hash is given as the bytes to hash, in a tuple."""
         d = self.described.get(kind)
         if d is None:
             return None
         attrs = {snake(k): v for k, v in attributes}
         for new, old in self.renames.items():
             attrs[new] = attrs.get(old)
-        topics = [d.id]
+        topics: list = [d.id]
         for value in self._values(attrs, d.indexed, True):
-            topics.append(topic_word(value, "string" if isinstance(value, str) else "bytes" if isinstance(value, list) else "word"))
+            if isinstance(value, (list, tuple)):
+                raise ValueError("a list is no topic")
+            topics.append((value.encode(),) if isinstance(value, str) else topic_word(value, "word"))
         return topics, self._values(attrs, d.plain, False)
 
+    def convert(self, kind: str, attributes) -> tuple[list[bytes], list] | None:
+        """(topics, values of the data), or None for an unknown type."""
+        found = self.parts(kind, attributes)
+        return found and ([keccak256(t[0]) if isinstance(t, tuple) else t for t in found[0]], found[1])
+
     def rows(self, events: DataFrame, *, strict: bool = False) -> DataFrame:
         """Logs of rows (id, type, attributes): (id, topics, data, values, error).
 
         ``data`` is packed where all plain arguments are static words, strings or bytes; ``values`` is the JSON of all.
-        With ``strict`` the first error fails the job, else it is in ``error``.
+        With ``strict`` the first error fails the job, else it is in ``error``. A batch's topics are hashed at once.
         """
 
         def shown(v):
@@ -197,7 +204,7 @@ class Converter:
                 out = []
                 for i, kind, attributes in zip(pdf["id"], pdf["type"], pdf["attributes"]):
                     try:
-                        found = self.convert(kind, [(a["key"], a["value"]) for a in attributes])
+                        found = self.parts(kind, [(a["key"], a["value"]) for a in attributes])
                     except ValueError as e:
                         if strict:
                             raise
@@ -207,7 +214,10 @@ class Converter:
                         kinds = [k for _, k in self.described[kind].plain]
                         simple = len(kinds) == len(found[1]) and all(isinstance(v, (int, bytes, str, bool)) and not (isinstance(v, str) and k not in ("string",)) for k, v in zip(kinds, found[1]))
                         out.append((i, found[0], abi_pack(kinds, found[1]) if simple else None, json.dumps(shown(found[1])), None))
-                yield pd.DataFrame(out, columns=["id", "topics", "data", "values", "error"])
+                raw = sorted({t[0] for row in out for t in row[1] or [] if isinstance(t, tuple)})
+                hashes = dict(zip(raw, keccak_many(raw)))
+                done = [(i, topics and [hashes[t[0]] if isinstance(t, tuple) else t for t in topics], *rest) for i, topics, *rest in out]
+                yield pd.DataFrame(done, columns=["id", "topics", "data", "values", "error"])
 
         return events.select(F.col("id").cast("long").alias("id"), "type", "attributes").mapInPandas(convert, "id long, topics array<binary>, data binary, values string, error string")
 

@@ -120,25 +120,30 @@ def block_meta_hash(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.lower(F.hex(proto.block_hash(cut))).alias("hash"))
 
 
-def tx_result_bytes(height, index, tx_hash, *, evm):
-    """A serialised transaction result with one event that names the hash (if ``evm``); numbers as three-byte varints."""
+def with_tx_result(rows, height, index, tx_hash, evm, into):
+    """Adds a serialised transaction result with one event that names the hash (if ``evm``); numbers as three-byte varints.
+
+    Message by message: each level's bytes are a column, since a field's length and its body both read them.
+    """
     part = lambda n, shift: F.lpad(F.hex(F.shiftright(n, shift).bitwiseAND(127).bitwiseOR(128)), 2, "0")
     varint = lambda n: F.unhex(F.concat(part(n, 0), part(n, 7), F.lpad(F.hex(F.shiftright(n, 14).bitwiseAND(127)), 2, "0")))
     field = lambda number, body: F.concat(F.unhex(F.lpad(F.hex(F.lit(number << 3 | 2)), 2, "0")), varint(F.length(body).cast("bigint")), body)
-    text = lambda s: (s if not isinstance(s, str) else F.lit(s)).cast("binary")
-    attribute = F.concat(field(1, text("ethereumTxHash")), field(2, text(tx_hash)))
-    event = F.concat(field(1, text("ethereum_tx")), field(2, F.concat(field(1, text("other")), field(2, text("x")))), field(2, attribute))
-    result = field(4, F.when(evm, field(7, event)).otherwise(F.lit(b"")))
-    return F.concat(F.lit(b"\x08"), varint(height), F.lit(b"\x10"), varint(index), result)
+    fixed = lambda number, text: F.lit(bytes([number << 3 | 2, len(text)]) + text.encode())
+    out = rows.withColumn("_hash", tx_hash.cast("binary"))
+    out = out.withColumn("_attribute", F.concat(fixed(1, "ethereumTxHash"), field(2, F.col("_hash"))))
+    out = out.withColumn("_event", F.concat(fixed(1, "ethereum_tx"), F.lit(b"\x12\x0a\x0a\x05other\x12\x01x"), field(2, F.col("_attribute"))))
+    out = out.withColumn("_result", F.when(evm, field(7, F.col("_event"))).otherwise(F.lit(b"")))
+    out = out.withColumn(into, F.concat(F.lit(b"\x08"), varint(height), F.lit(b"\x10"), varint(index), field(4, F.col("_result"))))
+    return out.drop("_hash", "_attribute", "_event", "_result")
 
 
 def tx_result_decode(spark, sf_dir):
     """Height, index and Ethereum hash of serialised results; every third is no EVM transaction, every 11th is cut off."""
     digest = F.sha2(F.concat_ws("/", "o_orderkey", "o_custkey"), 256)
     named = F.when(F.col("o_orderkey") % 2 == 0, digest).otherwise(F.concat(F.lit("0x"), digest))
-    value = tx_result_bytes(F.col("o_orderkey"), F.col("o_custkey"), named, evm=F.col("o_orderkey") % 3 != 0)
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.expr("NULL")).otherwise(value).alias("value"))
-    found = rows.withColumn("r", proto.decode_tx_result(F.coalesce("value", F.lit(b"\x22\x7f\x00"))))
+    made = with_tx_result(table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey"), named, F.col("o_orderkey") % 3 != 0, "value")
+    rows = made.select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.lit(b"\x22\x7f\x00")).otherwise(F.col("value")).alias("value"))
+    found = rows.withColumn("r", proto.decode_tx_result(F.col("value")))
     return found.select("o_orderkey", F.col("r.height").alias("height"), F.col("r.index").alias("idx"), eth_hash_of(F.col("r.events")).alias("eth_hash"))
 
 

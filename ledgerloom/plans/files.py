@@ -135,6 +135,6 @@ ORACLES = {
     "store_export": "SELECT 'k/' || CAST(o_orderkey AS VARCHAR) AS key_text, o_orderstatus AS value FROM orders WHERE o_orderkey % 2 = 0 AND starts_with(CAST(o_orderkey AS VARCHAR), '1')",
     "leveldb_store": """SELECT 'k/' || CAST(o_orderkey AS VARCHAR) AS key_text, CASE o_orderkey WHEN 7 THEN 'seven' WHEN 9 THEN 'nine' ELSE o_orderpriority END AS value FROM orders WHERE o_orderkey <> 8 UNION ALL SELECT 'new', ''""",
     "migrated_databases": "SELECT CASE o_orderstatus WHEN 'F' THEN 'state' ELSE 'evidence' END AS db, count(*) AS total, count(*) FILTER (o_orderkey % 50 <> 3) AS processed, count(*) FILTER (o_orderkey % 50 = 3) AS errors, 0::BIGINT AS mismatches FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1",
-    "block_replies": "SELECT unnest(['comet', 'eth']) AS kind, CAST(n_nationkey AS BIGINT) AS height, 1704067200 + n_nationkey AS ts, CAST(n_nationkey % 3 AS BIGINT) AS n_txs FROM nation",
+    "block_replies": "SELECT unnest(['comet', 'eth']) AS kind, CAST(n_nationkey AS BIGINT) AS height, CAST(1704067200 + n_nationkey AS BIGINT) AS ts, CAST(n_nationkey % 3 AS BIGINT) AS n_txs FROM nation",
     "broadcast_counts": "SELECT count(*) AS sent, count(*) FILTER (o_orderkey % 3 = 0) AS failed FROM orders",
 }

@@ -21,7 +21,7 @@ from ..functions.keys import parse_heights
 from ..sources import stores as Q
 from ..streaming import streams as S
 from . import twins as T
-from .codecs import _address, tx_result_bytes
+from .codecs import _address, with_tx_result
 from .stores import _PERTURBED_SQL, _perturbed
 from .tables import day, local_rows, table
 
@@ -288,9 +288,9 @@ def _tx_index(spark, sf_dir):
     h, i = F.col("h"), F.col("i")
     name = text("hash-", h)
     row = lambda k, v: F.struct(k.alias("key_text"), v.cast("binary").alias("value"))
-    result = tx_result_bytes(h, i, F.concat(F.lit("0x"), F.col("digest")), evm=F.col("evm"))
+    o = with_tx_result(o, h, i, F.concat(F.lit("0x"), F.col("digest")), F.col("evm"), "result")
     event = lambda tail: text("ethereum_tx.ethereumTxHash/0x", F.col("digest"), "/", h, "/", i, tail)
-    rows = F.array(row(text("tx.height/", h, "/", h, "/", i), name), F.struct(name.alias("key_text"), result.alias("value")))
+    rows = F.array(row(text("tx.height/", h, "/", h, "/", i), name), F.struct(name.alias("key_text"), F.col("result").alias("value")))
     rows = F.when(F.col("evm"), F.concat(rows, F.array(row(event(""), name), row(event("$es$0"), name), row(event("7"), name)))).otherwise(rows)
     kv = o.select(F.explode(rows).alias("r")).select("r.*")
     return kv.select(F.col("key_text").cast("binary").alias("key"), "key_text", "value")
