@@ -23,10 +23,20 @@ MOST_INDEXED = 3
 # ------------------------------------------------------------------ attribute maps
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def last_wins(entries: Column) -> Column:
     """Map of (key, value) entries in which the last entry of a key stands, whatever the session's policy is."""
-    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
-    return F.map_from_entries(F.filter(entries, lambda e, i: e["key"].isNotNull() & ~F.coalesce(later(e, i), F.lit(False))))
+
+    def made(e: Column) -> Column:
+        keys, values = F.transform(e, lambda x: x["key"]), F.transform(e, lambda x: x["value"])
+        value_of = lambda x: lambda k: F.element_at(x["v"], F.array_position(x["k"], k).cast("int"))  # noqa: E731  the first, as they are reversed
+        return _let(F.struct(keys.alias("k"), values.alias("v"), F.array_distinct(keys).alias("d")), lambda x: F.map_from_arrays(x["d"], F.transform(x["d"], value_of(x))))
+
+    return _let(F.reverse(F.filter(entries, lambda e: e["key"].isNotNull())), made)
 
 
 def attribute_map(event: Column, renames: dict[str, str] | None = None) -> Column:
@@ -34,8 +44,7 @@ def attribute_map(event: Column, renames: dict[str, str] | None = None) -> Colum
     entries = F.transform(event["attributes"], lambda a: F.struct(snake_case(a["key"]).alias("key"), a["value"].alias("value")))
     found = last_wins(entries)
     for new, old in (renames or {}).items():
-        rest = F.map_filter(found, lambda k, _: k != new)  # noqa: B023
-        found = F.map_concat(rest, F.create_map(F.lit(new), F.try_element_at(found, F.lit(old))))
+        found = _let(found, lambda m: F.map_concat(F.map_filter(m, lambda k, _: k != new), F.create_map(F.lit(new), F.try_element_at(m, F.lit(old)))))  # noqa: B023
     return found
 
 
