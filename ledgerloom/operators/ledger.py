@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import AMOUNT, burnable, scale_down, scale_up
 from ..functions.denoms import Denoms
+from ..session import checkpointed
 
 ENTRY = "seq long, address string, denom string, delta decimal(38,0)"
 MODULE = "module"
@@ -149,7 +150,7 @@ def _by_bounds(moves: DataFrame, size: int) -> DataFrame:
     parts = F.when(F.col("op") == "mint", F.array(credit)).when(F.col("op") == "burn", F.array(debit)).otherwise(F.array(debit, credit))
     entries = moves.select("seq", F.col("token").alias("denom"), F.explode(parts).alias("e")).select("seq", "denom", "e.*")
     needs = moves.where("op <> 'mint'").select("seq", F.col("amount").alias("need"))
-    state = entries.join(needs, "seq", "left").withColumn("passes", F.when(F.col("need").isNull(), True).cast("boolean")).checkpoint()
+    state = checkpointed(entries.join(needs, "seq", "left").withColumn("passes", F.when(F.col("need").isNull(), True).cast("boolean")))
     while not state.where("passes is null").isEmpty():
         sure, open_ = F.when(F.col("passes"), F.col("delta")).otherwise(F.lit(0)), F.col("passes").isNull()
         low = sure + F.when(open_ & (F.col("delta") < 0), F.col("delta")).otherwise(F.lit(0))
@@ -157,7 +158,7 @@ def _by_bounds(moves: DataFrame, size: int) -> DataFrame:
         bounds = _before(_before(state, low, "low", size), high, "high", size)
         of_sender = bounds.where(F.col("passes").isNull() & (F.col("delta") <= 0)).groupBy("seq").agg(F.min("low").alias("low"), F.min("high").alias("high"), F.first("need").alias("need"))
         decided = of_sender.select("seq", F.when(F.col("low") >= F.col("need"), True).when(F.col("high") < F.col("need"), False).alias("now")).where("now is not null")
-        state = state.join(decided, "seq", "left").withColumn("passes", F.coalesce("passes", "now")).drop("now").checkpoint()
+        state = checkpointed(state.join(decided, "seq", "left").withColumn("passes", F.coalesce("passes", "now")).drop("now"))
     return state.groupBy("seq").agg(F.bool_and("passes").alias("accepted"))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 WINDOW = 5
 
 
@@ -110,7 +112,7 @@ def interleaved_position(txs: DataFrame, account: str = "account", nonce: str =
     Rows are dealt to tasks by ranges of (nonce, account) and kept so (a checkpoint: the ranges are found by sampling); a
     place is the number of rows in earlier ranges and the place in the own one. One row per range meets in one task.
     """
-    dealt = txs.repartitionByRange(nonce, account).sortWithinPartitions(nonce, account).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    dealt = checkpointed(txs.repartitionByRange(nonce, account).sortWithinPartitions(nonce, account).withColumn("_id", F.monotonically_increasing_id()))
     ranges = dealt.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1))
     sizes = ranges.groupBy("_part").agg(F.count("*").alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
