@@ -14,7 +14,7 @@ MIX_B = np.uint64(0x94D049BB133111EB)
 
 
 #: Bytes of an Arrow batch on its way to a Python worker; a batch is held there some four times over.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -4,8 +4,7 @@ A text is brought to a canonical form: case, copyright lines, list markers, equi
 script and white space. The SHA-256 of the form is joined with the digests of known licences, which cover
 the usual title lines too. The whole text must be the licence: one that only quotes it has another digest.
 
-The form is made in Python. As one JVM expression it once took 3.4 GB of an executor whose heap had 1.8 GB; the code
-compiler is suspected, but that was not shown.
+The form is made in Python: Unicode classes and a table of spellings are plain there, and the JVM has no large expression to compile.
 """
 
 from __future__ import annotations
