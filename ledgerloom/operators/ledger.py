@@ -6,7 +6,8 @@ operation is valid where no running balance falls below zero.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,25 +117,54 @@ def _before(rows: DataFrame, value: Column, name: str, size: int) -> DataFrame:
     totals = ranged.groupBy(*keys, "_range").agg(F.sum("_value").alias("_total"))
     earlier = F.sum("_total").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("_range").alias("_of"), F.coalesce(earlier, F.lit(0)).alias("_base"))
-    same = (F.col("_address") == F.col("address")) & (F.col("_denom") == F.col("denom")) & (F.col("_of") == F.col("_range"))
+    same = F.col("_address").eqNullSafe(F.col("address")) & F.col("_denom").eqNullSafe(F.col("denom")) & (F.col("_of") == F.col("_range"))
     within = Window.partitionBy(*keys, "_range").orderBy("seq").rangeBetween(Window.unboundedPreceding, -1)
     out = ranged.join(totals, same).withColumn(name, (F.col("_base") + F.coalesce(F.sum("_value").over(within), F.lit(0))).cast(AMOUNT))
     return out.drop("_range", "_value", "_address", "_denom", "_of", "_base")
 
 
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
-    """One token's operations in order."""
-    balance: dict = {}
-    passed = []
-    rows = rows.sort_values("seq", kind="stable")
-    for op, sender, receiver, amount in zip(rows["op"], rows["sender"], rows["receiver"], rows["amount"]):
-        fine = op == "mint" or balance.get(sender, 0) >= amount
-        passed.append(fine)
-        if fine and op != "mint":
-            balance[sender] = balance.get(sender, 0) - amount
-        if fine and op != "burn":
-            balance[receiver] = balance.get(receiver, 0) + amount
-    return pd.DataFrame({"seq": rows["seq"], "accepted": passed})
+def _integers(column) -> list:
+    """Values of an Arrow decimal(38,0) column as integers, which are exact at any size; null stays None."""
+    words = np.frombuffer(column.buffers()[1], np.int64)[2 * column.offset : 2 * (column.offset + len(column))].reshape(-1, 2)
+    low, high = words[:, 0], words[:, 1]
+    found = low.tolist() if (high == low >> 63).all() else [h * 2**64 + n for h, n in zip(high.tolist(), low.view(np.uint64).tolist())]
+    if column.null_count:
+        found = [n if v else None for n, v in zip(found, column.is_valid().to_pylist())]
+    return found
+
+
+def _names(column) -> list:
+    """Values of an Arrow column in which few differ."""
+    coded = column.dictionary_encode()
+    names = [*coded.dictionary.to_pylist(), None]
+    return [names[i] for i in coded.indices.fill_null(len(names) - 1).to_numpy().tolist()]
+
+
+def _fold(batches):
+    """Operations by token and order; of a token only the balances are kept, not its rows."""
+    token, balance = object(), {}
+    for batch in batches:
+        column = {c: batch.column(c) for c in batch.schema.names}
+        passed = []
+        for op, of, sender, receiver, amount, base in zip(_names(column["op"]), _names(column["token"]), _names(column["sender"]), _names(column["receiver"]), _integers(column["amount"]), _integers(column["base"])):
+            if of != token:
+                token, balance = of, {}
+            if base is None:
+                raise OverflowError("a balance has more than 38 digits")
+            fine = op == "mint" or base + balance.get(sender, 0) >= amount
+            passed.append(fine)
+            if fine and op != "mint":
+                balance[sender] = balance.get(sender, 0) - amount
+            if fine and op != "burn":
+                balance[receiver] = balance.get(receiver, 0) + amount
+        yield pa.RecordBatch.from_arrays([column["seq"], pa.array(passed, pa.bool_())], names=["seq", "accepted"])
+
+
+def _in_order(moves: DataFrame) -> DataFrame:
+    """(seq, accepted) by applying each token's operations in a row; ``base`` is what the sender has from operations that are not among them."""
+    kind = moves.schema["seq"].dataType.simpleString()
+    rows = moves.select("seq", "op", "token", "sender", "receiver", "amount", "base")
+    return rows.repartition("token").sortWithinPartitions("token", "seq").mapInArrow(_fold, f"seq {kind}, accepted boolean")
 
 
 def _by_bounds(moves: DataFrame, size: int) -> DataFrame:
@@ -142,42 +172,54 @@ def _by_bounds(moves: DataFrame, size: int) -> DataFrame:
 
     Whether an operation passes depends on those before it, so it is decided as soon as bounds do: it passes if the
     balance covers it even when all undecided debits pass and undecided credits do not, and fails if it is not covered
-    the other way round. Each round decides at least the first undecided operation of every ledger; rounds are as many
-    as decisions depend on each other in a row.
+    the other way round. Each round decides at least the first undecided operation of every ledger. Where decisions
+    depend on each other in a row a round decides few: the first that leaves more than half of the undecided is the
+    last, and what is left is applied in order, on top of the balances that are decided. So rounds are at most as many
+    as the logarithm of the operations, and only what depends on itself is left to one task.
     """
-    debit = F.struct(F.col("sender").alias("address"), (-F.col("amount")).cast(AMOUNT).alias("delta"))
-    credit = F.struct(F.col("receiver").alias("address"), F.col("amount").alias("delta"))
+    debit = F.struct(F.col("sender").alias("address"), (-F.col("amount")).cast(AMOUNT).alias("delta"), F.lit(True).alias("debit"))
+    credit = F.struct(F.col("receiver").alias("address"), F.col("amount").alias("delta"), F.lit(False).alias("debit"))
     parts = F.when(F.col("op") == "mint", F.array(credit)).when(F.col("op") == "burn", F.array(debit)).otherwise(F.array(debit, credit))
     entries = moves.select("seq", F.col("token").alias("denom"), F.explode(parts).alias("e")).select("seq", "denom", "e.*")
     needs = moves.where("op <> 'mint'").select("seq", F.col("amount").alias("need"))
     state = checkpointed(entries.join(needs, "seq", "left").withColumn("passes", F.when(F.col("need").isNull(), True).cast("boolean")))
-    while not state.where("passes is null").isEmpty():
+    left = state.where("passes is null and debit").count()
+    while left:
         sure, open_ = F.when(F.col("passes"), F.col("delta")).otherwise(F.lit(0)), F.col("passes").isNull()
         low = sure + F.when(open_ & (F.col("delta") < 0), F.col("delta")).otherwise(F.lit(0))
         high = sure + F.when(open_ & (F.col("delta") > 0), F.col("delta")).otherwise(F.lit(0))
         bounds = _before(_before(state, low, "low", size), high, "high", size)
-        of_sender = bounds.where(F.col("passes").isNull() & (F.col("delta") <= 0)).groupBy("seq").agg(F.min("low").alias("low"), F.min("high").alias("high"), F.first("need").alias("need"))
-        decided = of_sender.select("seq", F.when(F.col("low") >= F.col("need"), True).when(F.col("high") < F.col("need"), False).alias("now")).where("now is not null")
+        decided = bounds.where("passes is null and debit").select("seq", F.when(F.col("low") >= F.col("need"), True).when(F.col("high") < F.col("need"), False).alias("now")).where("now is not null")
         state = checkpointed(state.join(decided, "seq", "left").withColumn("passes", F.coalesce("passes", "now")).drop("now"))
-    return state.groupBy("seq").agg(F.bool_and("passes").alias("accepted"))
+        before, left = left, state.where("passes is null and debit").count()
+        if 2 * left > before:
+            break
+    passed = state.where("passes is not null").groupBy("seq").agg(F.bool_and("passes").alias("accepted"))
+    if left:
+        based = _before(state, F.when(F.col("passes"), F.col("delta")).otherwise(F.lit(0)), "base", size)
+        passed = passed.union(_in_order(moves.join(based.where("passes is null and debit").select("seq", "base"), "seq")))
+    return passed
 
 
-def guarded(operations: DataFrame, *, fold_limit: int = 200_000, size: int = 100_000) -> DataFrame:
+def guarded(operations: DataFrame, *, fold_limit: int = 5_000_000, size: int = 100_000) -> DataFrame:
     """Each operation (seq, op, token, sender, receiver, amount) with ``accepted``, as a contract that applies them in order.
 
     A burn or a transfer needs its amount on the sender's balance, and one that is refused changes nothing. A token of at
-    most ``fold_limit`` operations (counted) is folded in a task; the others are decided by bounds, in ranges of ``size``
-    operations, with the same result. ``seq`` is unique. Amounts that are null or negative, and operations of other names, fail.
+    most ``fold_limit`` operations (counted) is applied in order by one task, which keeps balances only; of the others
+    bounds, in ranges of ``size`` operations, first decide what they can, with the same result. ``seq`` is unique.
+    Amounts that are null or negative, operations of other names and such without a ``seq`` fail.
     """
-    known = F.col("op").isin("mint", "burn", "transfer") & (F.col("amount") >= 0)
+    known = F.col("op").isin("mint", "burn", "transfer") & (F.col("amount") >= 0) & F.col("seq").isNotNull()
     plain = operations.select("seq", "op", "token", "sender", "receiver", F.col("amount").cast(AMOUNT).alias("amount"))
     moves = plain.where(F.coalesce(known, F.lit(False)))
     large = moves.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > fold_limit).select("token")
-    long_ones = moves.join(large, "token", "left_semi")
-    kind = operations.schema["seq"].dataType.simpleString()
-    passed = moves.join(large, "token", "left_anti").groupBy("token").applyInPandas(_fold, f"seq {kind}, accepted boolean")
-    if not large.isEmpty():
-        passed = passed.union(_by_bounds(long_ones, size))
+    based = moves.withColumn("base", F.lit(0).cast(AMOUNT))
+    if large.isEmpty():
+        passed = _in_order(based)
+    else:
+        same = F.col("token").eqNullSafe(F.col("_token"))
+        large = large.withColumnRenamed("token", "_token")
+        passed = _in_order(based.join(large, same, "left_anti")).union(_by_bounds(moves.join(large, same, "left_semi"), size))
     return operations.join(passed, "seq", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
 
 

@@ -122,6 +122,23 @@ def test_guard_equals_a_loop(spark):
     assert L.guarded(operations(spark, ops).where("false")).count() == 0
 
 
+def test_guard_of_operations_that_depend_on_each_other_in_a_row(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(L, "checkpointed", lambda df, keep=L.checkpointed: rounds.append(1) or keep(df))
+    ops = [(1, "mint", None, "x0", 10), *[(2 + k, "transfer", f"x{k}", f"x{k + 1}", 10 - k % 2) for k in range(20)]]
+    ops += [(30, "transfer", None, "x1", 1), (31, "mint", "x1", None, 4), (32, "transfer", None, "x1", 4), (33, "burn", None, None, 1)]
+    assert {r.seq: r.accepted for r in L.guarded(operations(spark, ops), fold_limit=0, size=4).collect()} == applied(ops)
+    assert len(rounds) <= 6  # the state, and a round for each halving
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_guard_adds_balances_of_38_digits_exactly(spark, limit):
+    big = 10**37
+    ops = [(1, "mint", None, "a", big + 1), (2, "burn", "a", None, big + 2), (3, "transfer", "a", "b", big), (4, "burn", "a", None, 1), (5, "burn", "b", None, big + 1), (6, "burn", "b", None, big)]
+    rows = spark.createDataFrame([(s, o, "t", x, y, str(n)) for s, o, x, y, n in ops], "seq long, op string, token string, sender string, receiver string, amount string").withColumn("amount", F.col("amount").cast("decimal(38,0)"))
+    assert {r.seq: r.accepted for r in L.guarded(rows, fold_limit=limit, size=4).collect()} == applied(ops)
+
+
 def test_proposals(spark):
     names = ["valid1", "invalid", "valid2", "invalid", "valid3"]
     rows = [(1, i, [n], "to", None, None) for i, n in enumerate(names)] + [(2, 0, ["x"], None, ["invalid"], None), (3, 0, ["x"], "y", None, ["z"])]
