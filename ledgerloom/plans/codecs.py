@@ -121,19 +121,17 @@ def block_meta_hash(spark, sf_dir):
 
 
 def with_tx_result(rows, height, index, tx_hash, evm, into):
-    """Adds a serialised transaction result with one event that names the hash (if ``evm``); numbers as three-byte varints.
+    """Adds a serialised transaction result with one event that names the hash (if ``evm``).
 
     Message by message: each level's bytes are a column, since a field's length and its body both read them.
     """
-    part = lambda n, shift: F.lpad(F.hex(F.shiftright(n, shift).bitwiseAND(127).bitwiseOR(128)), 2, "0")
-    varint = lambda n: F.unhex(F.concat(part(n, 0), part(n, 7), F.lpad(F.hex(F.shiftright(n, 14).bitwiseAND(127)), 2, "0")))
-    field = lambda number, body: F.concat(F.unhex(F.lpad(F.hex(F.lit(number << 3 | 2)), 2, "0")), varint(F.length(body).cast("bigint")), body)
+    field = lambda number, body: F.concat(F.unhex(F.lpad(F.hex(F.lit(number << 3 | 2)), 2, "0")), proto.varint_of(F.length(body), 5), body)
     fixed = lambda number, text: F.lit(bytes([number << 3 | 2, len(text)]) + text.encode())
     out = rows.withColumn("_hash", tx_hash.cast("binary"))
     out = out.withColumn("_attribute", F.concat(fixed(1, "ethereumTxHash"), field(2, F.col("_hash"))))
     out = out.withColumn("_event", F.concat(fixed(1, "ethereum_tx"), F.lit(b"\x12\x0a\x0a\x05other\x12\x01x"), field(2, F.col("_attribute"))))
     out = out.withColumn("_result", F.when(evm, field(7, F.col("_event"))).otherwise(F.lit(b"")))
-    out = out.withColumn(into, F.concat(F.lit(b"\x08"), varint(height), F.lit(b"\x10"), varint(index), field(4, F.col("_result"))))
+    out = out.withColumn(into, F.concat(F.lit(b"\x08"), proto.varint_of(height), F.lit(b"\x10"), proto.varint_of(index), field(4, F.col("_result"))))
     return out.drop("_hash", "_attribute", "_event", "_result")
 
 

@@ -6,6 +6,7 @@ from ledgerloom.functions import amounts as A
 from ledgerloom.functions import encoding as X
 from ledgerloom.functions import proto as P
 from ledgerloom.functions.denoms import Denoms, snake
+from ledgerloom.plans import codecs
 
 
 def test_keccak_known_values():
@@ -70,6 +71,16 @@ def test_hex_and_base64(spark):
     assert X.decoded_base64("aGk=") == "hi" and X.decoded_base64("no base64!") == "no base64!" and X.decoded_base64(None) is None
 
 
+def test_made_results_hold_any_height(spark):
+    heights = [0, 1, 127, 128, 2**21 - 1, 2**21, 8_999_999, 2**35, 2**63 - 1]
+    rows = spark.createDataFrame([(h, h // 3, "ab" * 32) for h in heights], "h long, i long, hash string")
+    made = codecs.with_tx_result(rows, F.col("h"), F.col("i"), F.col("hash"), F.lit(True), "value").withColumn("r", P.decode_tx_result(F.col("value")))
+    assert {(r.h, r.i): (r.r.height, r.r["index"], r.r.events[0].attributes[1].value) for r in made.collect()} == {(h, h // 3): (h, h // 3, "ab" * 32) for h in heights}
+    numbers = [*heights, -1, -(2**63)]
+    got = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", P.varint_of(F.col("n")).alias("v")).collect()
+    assert {r.n: bytes(r.v) for r in got} == {n: P.put_varint(n) for n in numbers}
+
+
 def test_proto_round_trip(spark):
     events = [("ethereum_tx", [("ethereumTxHash", "0x" + "1" * 64), ("amount", "5")]), ("other", [])]
     data = P.encode_tx_result(12, 3, b"tx", events, code=5, log="bad", gas_used=77)
