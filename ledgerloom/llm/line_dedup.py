@@ -3,14 +3,14 @@
 A passage is a block of consecutive lines with at least ``MIN_WORDS`` words. Lines that one document alone has are
 in no shared passage, so they are counted first, by hash. What is left of a document are stretches of shared lines;
 each least window of ``MIN_WORDS`` words in a stretch (the shortest from each line on, and up to each line) is filed
-under its rarest line and its digest. Documents that meet there overlap, and the earliest of them is the partner of
-the others: a window that millions share makes one pair per document instead of all pairs, and no window is too
-frequent to count.
+under its rarest line and its digest. Documents that meet there are candidates, and the earliest of them is the partner
+of the others: a window that millions share makes one pair per document instead of all pairs, and no window is too
+frequent to count. Where they meet is not handed on.
 
-A document is aligned with each partner by patience diff, and aligned blocks, consecutive in both and of at least
-``MIN_WORDS`` words, are deleted from it. What is left is aligned once more, for passages that moved; windows that the
-alignment leaves out even so (a passage that the document repeats, say) are deleted as blocks of their own. So a
-line goes if, and only if, it lies in a passage that an earlier document has too.
+A document is aligned with each partner by patience diff of their windows, and the lines of aligned windows are deleted
+from it. What is left is aligned again, forwards and backwards in turn, until nothing aligns: so passages that moved are
+found as well, and a passage that the document repeats goes everywhere. Patience aligns at least one pair as long as a
+window is common, so a line goes if, and only if, it lies in a passage that an earlier document has too.
 
 What is shuffled is hashes, counts and positions, in proportion to the lines. Texts move once, for the final cut, and
 not while the cuts are few enough to be broadcast. A window's digest is made of 128 bits of each of its lines.
@@ -32,7 +32,8 @@ MIN_WORDS = 50
 #: Numbers (ids, runs, partners) that the cuts of all documents may hold to be broadcast: some 32 MB.
 MAX_BROADCAST = 2_000_000
 LINES = "doc_id long, version long, lines array<long>, checks array<long>, counts array<int>"
-WINDOWS = "doc_id long, version long, rare long, window binary, at int, n int"
+WINDOWS = "doc_id long, version long, rare long, window binary"
+ALIGNED = "doc_id long, version long, partner long, places array<struct<at:int,words:int>>"
 CUT = "doc_id long, version long, cut array<struct<first:int,last:int>>, partners array<long>, cut_lines int, cut_words int"
 
 
@@ -149,61 +150,64 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _blocks(pairs: list[tuple[int, int]]) -> list[list[int]]:
-    """Positions in the first sequence of aligned pairs that follow each other in both."""
-    out: list[list[int]] = []
-    last = None
-    for p, q in pairs:
-        if last == (p - 1, q - 1):
-            out[-1].append(p)
-        else:
-            out.append([p])
-        last = (p, q)
-    return out
+def _items(at: np.ndarray, digests: np.ndarray, counts: np.ndarray, least: int) -> tuple[list[tuple[int, int]], list[bytes]]:
+    """The least windows of a document and what their lines are."""
+    spans = windows_of(at, counts, least)
+    return spans, [digests[a:b].tobytes() for a, b in spans]
 
 
-def passages(anchors: list[tuple[int, int, int]], lines: dict, words: dict, least: int, *, exact: bool = True) -> set[int]:
-    """Positions to delete from a document on one partner's account.
+def align(mine: list[bytes], theirs: list[bytes], rounds: int | None = None) -> set[bytes]:
+    """Items of a document that patience diff aligns with the other's, in at most ``rounds`` alignments, else until nothing aligns.
 
-    ``anchors`` are (position here, lines, position there) of windows that both have, ``lines`` and ``words`` what is at a
-    position here. The first alignment finds blocks in their order, the second such that moved. With ``exact``, windows
-    that neither covers are added.
+    The first takes both as they stand. What is left goes on with each item once, against the other forwards and backwards
+    in turn: of m items in any order two such alignments take the root of m at least.
     """
-    there = {q + k: lines[p + k] for p, n, q in anchors for k in range(n)}
-    b = sorted(there)
-    second = [there[q] for q in b]
-    found: set[int] = set()
-    for _ in range(2):
-        a = sorted({p + k for p, n, _ in anchors for k in range(n)} - found)
-        pairs = patience([lines[p] for p in a], second)
-        new = {p for block in _blocks([(a[i], b[j]) for i, j in pairs]) if sum(words[p] for p in block) >= least for p in block}
+    found: set[bytes] = set()
+    made = 0
+    while rounds is None or made < rounds:
+        new = {mine[i] for i, _ in patience(mine, theirs if made < 2 or made % 2 else theirs[::-1])}
         if not new:
             break
         found |= new
-    if exact:
-        for p, n, _ in anchors:
-            found.update(range(p, p + n))
+        mine = [x for x in dict.fromkeys(mine) if x not in new]
+        theirs = [x for x in dict.fromkeys(theirs) if x not in new]
+        made += 1
     return found
 
 
-def runs_to_cut(shared, anchors, least: int) -> tuple[list[tuple[int, int]], list[int], int]:
-    """Runs of lines to delete, the partners that have them, and their words."""
-    at, line, check, count, _ = _by_place(shared)
-    lines = dict(zip(at.tolist(), zip(line.tolist(), check.tolist())))
-    words = dict(zip(at.tolist(), count.tolist()))
-    by_partner: dict[tuple, list] = {}
-    for x in anchors:
-        by_partner.setdefault((x["partner"], x["edition"]), []).append((x["at"], x["n"], x["there"]))
-    found: set[int] = set()
-    for mine in by_partner.values():
-        found |= passages(sorted(set(mine)), lines, words, least)
+def _aligned(first: tuple, second: tuple, least: int, rounds: int | None = None) -> list[int]:
+    """Indices of the first's lines that go on the second's account; both are (places, digests, word counts)."""
+    spans, mine = _items(*first, least)
+    found = align(mine, _items(*second, least)[1], rounds)
+    return sorted({k for (a, b), x in zip(spans, mine) if x in found for k in range(a, b)})
+
+
+def passages(anchors: list[tuple[int, int, int]], lines: dict, words: dict, least: int, *, exact: bool = True) -> set[int]:
+    """Positions to delete from a document on one partner's account, where only the lines in ``anchors`` are known.
+
+    ``anchors`` are (position here, lines, position there) of windows that both have, ``lines`` and ``words`` what is at a
+    position here. Two alignments find blocks in their order and such that moved; with ``exact``, more find the rest.
+    """
+    here = sorted({p + k for p, n, _ in anchors for k in range(n)})
+    there = {q + k: p + k for p, n, q in anchors for k in range(n)}
+    number: dict = {}
+
+    def known(places: list[int], of: list[int]) -> tuple:
+        digests = np.array([number.setdefault(lines[p], len(number)) for p in of], np.int64)
+        return np.array(places, np.int64), digests, np.array([words[p] for p in of], np.int64)
+
+    return {here[i] for i in _aligned(known(here, here), known(sorted(there), [there[q] for q in sorted(there)]), least, None if exact else 2)}
+
+
+def runs_to_cut(words: dict[int, int]) -> list[tuple[int, int]]:
+    """Runs of the lines to delete."""
     runs: list[tuple[int, int]] = []
-    for p in sorted(found):
+    for p in sorted(words):
         if runs and runs[-1][1] == p - 1:
             runs[-1] = (runs[-1][0], p)
         else:
             runs.append((p, p))
-    return runs, sorted({p for p, _ in by_partner}), sum(words[p] for p in found)
+    return runs
 
 
 def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
@@ -240,37 +244,48 @@ def cuts(docs: DataFrame, scratch: Scratch, *, min_words: int = MIN_WORDS) -> Da
 
     def file(batches):
         for pdf in batches:
-            out = {c: [] for c in ("doc_id", "version", "rare", "window", "at", "n")}
+            out = {c: [] for c in ("doc_id", "version", "rare", "window")}
             for doc_id, version, found in zip(pdf["doc_id"], pdf["version"], pdf["shared"]):
                 at, line, check, count, holders = _by_place(found)
-                digests = np.stack([line, check], 1)
                 rank = np.lexsort((line, holders)).argsort()
-                for a, b in windows_of(at, count, min_words):
+                for (a, b), item in zip(*_items(at, np.stack([line, check], 1), count, min_words)):
                     out["doc_id"].append(doc_id)
                     out["version"].append(version)
                     out["rare"].append(line[a + int(np.argmin(rank[a:b]))])
-                    out["window"].append(hashlib.blake2b(digests[a:b].tobytes(), digest_size=16).digest())
-                    out["at"].append(at[a])
-                    out["n"].append(b - a)
+                    out["window"].append(hashlib.blake2b(item, digest_size=16).digest())
             yield pd.DataFrame(out)
         release()
 
     windows = scratch.keep(shared.mapInPandas(file, WINDOWS), "windows")
-    first = windows.groupBy("rare", "window").agg(F.min(F.struct("doc_id", "version", "at")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
-    first = first.select("rare", "window", F.col("first.doc_id").alias("partner"), F.col("first.version").alias("edition"), F.col("first.at").alias("there"))
-    pairs = windows.join(first, ["rare", "window"]).where("doc_id > partner")
-    anchors = pairs.groupBy("doc_id", "version").agg(F.collect_list(F.struct("at", "n", "partner", "edition", "there")).alias("anchors"))
+    first = windows.groupBy("rare", "window").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
+    met = windows.join(first.select("rare", "window", "first"), ["rare", "window"]).where("doc_id > first.doc_id")
+    pairs = met.groupBy("doc_id", "version").agg(F.collect_set("first").alias("met"))
+    # A document's own lines come first: the partner of very many then has rows that Spark splits by their size.
+    pairs = pairs.join(shared, ["doc_id", "version"]).select("doc_id", "version", "shared", F.explode("met").alias("met")).select("doc_id", "version", "shared", F.col("met.doc_id").alias("partner"), F.col("met.version").alias("edition"))
+    pairs = pairs.join(shared.select(F.col("doc_id").alias("partner"), F.col("version").alias("edition"), F.col("shared").alias("theirs")), ["partner", "edition"])
+
+    def meet(batches):
+        for pdf in batches:
+            out = []
+            for doc_id, version, partner, found, other in zip(pdf["doc_id"], pdf["version"], pdf["partner"], pdf["shared"], pdf["theirs"]):
+                (at, *mine, count, _), (there, *theirs, counts, _) = _by_place(found), _by_place(other)
+                gone = _aligned((at, np.stack(mine, 1), count), (there, np.stack(theirs, 1), counts), min_words)
+                out.append((doc_id, version, partner, [{"at": int(at[i]), "words": int(count[i])} for i in gone]))
+            yield pd.DataFrame(out, columns=["doc_id", "version", "partner", "places"])
+        release()
 
-    def align(batches):
+    def unite(batches):
         for pdf in batches:
             out = []
-            for doc_id, version, found, mine in zip(pdf["doc_id"], pdf["version"], pdf["shared"], pdf["anchors"]):
-                runs, partners, total = runs_to_cut(found, mine, min_words)
-                out.append((doc_id, version, [{"first": a, "last": b} for a, b in runs], partners, sum(b - a + 1 for a, b in runs), total))
+            for doc_id, version, partners, places in zip(pdf["doc_id"], pdf["version"], pdf["partners"], pdf["places"]):
+                words = {x["at"]: x["words"] for x in places}
+                out.append((doc_id, version, [{"first": a, "last": b} for a, b in runs_to_cut(words)], sorted(partners), len(words), sum(words.values())))
             yield pd.DataFrame(out, columns=["doc_id", "version", "cut", "partners", "cut_lines", "cut_words"])
         release()
 
-    return scratch.keep(anchors.join(shared, ["doc_id", "version"]).mapInPandas(align, CUT), "cut")
+    lost = pairs.mapInPandas(meet, ALIGNED).where(F.size("places") > 0)
+    lost = lost.groupBy("doc_id", "version").agg(F.collect_set("partner").alias("partners"), F.flatten(F.collect_list("places")).alias("places"))
+    return scratch.keep(lost.mapInPandas(unite, CUT), "cut")
 
 
 def _apply(text: pd.Series, cut: pd.Series) -> pd.DataFrame:

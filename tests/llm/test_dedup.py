@@ -119,6 +119,23 @@ def test_passages_that_moved_are_found_by_the_second_alignment():
     assert line_dedup.passages(in_order, lines, count, 50, exact=False) == {0, 1, 2, 6, 7, 8}
 
 
+def test_what_goes_is_what_patience_aligns(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(200):
+        a, b = ([bytes([rng.randrange(30)]) for _ in range(rng.randrange(40))] for _ in range(2))
+        assert line_dedup.align(a, b) == set(a) & set(b)
+    made = []
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b, real=line_dedup.patience: made.append(1) or real(a, b))
+    items = [k.to_bytes(2, "big") for k in range(900)]
+    mixed = rng.sample(items, len(items))
+    for other in (items[::-1], mixed, [*mixed, *items[::-1]]):
+        made.clear()
+        assert line_dedup.align(items, other) == set(items) and len(made) <= 2 * 30 + 2
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b: [])
+    lines = dict(enumerate(range(6)))
+    assert line_dedup.passages([(0, 3, 10), (1, 3, 11)], lines, dict.fromkeys(lines, 20), 50) == set()
+
+
 def test_windows_are_least_and_stay_in_stretches():
     at, count = np.array([0, 1, 2, 5, 6, 7, 8]), np.array([30, 30, 30, 10, 60, 1, 2])
     assert line_dedup.windows_of(at, count, 50) == [(0, 2), (1, 3), (3, 5), (4, 5), (4, 6), (4, 7)]
