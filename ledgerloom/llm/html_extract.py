@@ -1,11 +1,11 @@
 """Main-text extraction with wrappers inferred as union-free regular expressions, per host.
 
 A page is read into a stream of structure tokens (block tags with their class, text slots, link slots). For each
-host a bounded sample of differing pages is folded (adjacent repeats become a repeated group) and aligned one
-after another: what both have stays, what one lacks becomes optional, repeats of either fold into the
-other. The wrapper that results is a regular expression without unions. Each of its containers that is not itself
-repeated is a group of the expression, so matching the sample's pages tells what stands where: texts that all
-differing pages share are the template's own, the others are slots.
+host every structure that its pages have is folded (adjacent repeats become a repeated group) and aligned with the wrapper
+of those before it, unless that matches it already: what both have stays, what one lacks becomes optional, repeats of
+either fold into the other. The wrapper that results is a regular expression without unions. Each of its containers that is
+not itself repeated is a group of the expression, so matching all of the host's pages tells what stands where: texts that
+all differing pages share are the template's own, the others are slots.
 
 The article is the container whose slots hold the host's prose. From the whole page down, a container is
 followed while it has nearly all of that prose and no heading stands beside it, and never below an ``article`` or ``main``
@@ -15,13 +15,16 @@ comments); a name that only has such a word among others does so for layout elem
 paragraphs, items and cells. A page that its wrapper does not match, or whose host has one page, is cut by
 the names alone.
 
-``SAMPLE`` pages per host bound what one task gathers for inference; extraction is per page, so a host with a
-third of all pages is spread like any other. Wrappers are broadcast while they are at most
+Nothing is learned from a sample. Pages are read where they lie; of each goes on its structure, and a digest and the number of words
+of each of its texts. One task per host gets its differing structures only; what all pages share, the words in each
+container and pages that are unlike each other are found by every task for its pages and merged, so a host with a
+third of all pages is spread like any other, in learning and in extraction. Wrappers are broadcast while they are at most
 ``MAX_BROADCAST`` hosts, else joined by shuffle.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import json
 import re
@@ -34,7 +37,6 @@ from pyspark.sql import functions as F
 
 from .common import held
 
-SAMPLE = 16
 MAX_BROADCAST = 20_000
 #: Share of a container's varying prose that one in it must have to be followed.
 NEARLY_ALL = 0.8
@@ -178,7 +180,7 @@ def read(html: str | None) -> Page:
 class Alphabet:
     """Structure keys and repeated groups as single characters."""
 
-    FIRST = 0xF0000
+    FIRST, LETTERS = 0x10000, 0x100000
 
     def __init__(self) -> None:
         self.of: dict[str, str] = {}
@@ -336,32 +338,30 @@ def _expression(wrapper: list[tuple[str, bool]], alphabet: Alphabet, containers:
     return "".join(parts)
 
 
-def _spans(pattern: re.Pattern, page: Page, alphabet: dict[str, str]) -> dict[str, tuple[int, int]] | None:
+def _spans(pattern: re.Pattern, keys: list[str], alphabet: dict[str, str]) -> dict[str, tuple[int, int]] | None:
     """Places of the containers in a page that the expression matches; empty where an optional one is absent."""
-    m = pattern.fullmatch("".join(alphabet.get(k, "\uffff") for k in page.keys))
+    m = pattern.fullmatch("".join(alphabet.get(k, "\uffff") for k in keys))
     return None if m is None else {name: m.span(name) for name in pattern.groupindex}
 
 
-def _template(pages: list[list[str]]) -> set[str]:
-    """Texts on all of the pages, if there are ``UNLIKE`` pages whose other texts are their own; else none.
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
-    Copies and near copies of one article share its texts too; they are not unlike.
-    """
-    sets = [set(p) for p in pages]
-    common = set.intersection(*sets) if sets else set()
-    kept: list[set[str]] = []
-    for own in (s - common for s in sets):
-        if own and all(10 * len(own & k) <= min(len(own), len(k)) for k in kept):
-            kept.append(own)
-    return common if len(kept) >= UNLIKE else set()
 
+def brief(page: Page) -> tuple[list[str], list[tuple[int, int, int, bool, bool, bool, bool]]]:
+    """What learning needs of a page: its keys and its blocks, with a digest and the number of words for the text."""
+    return page.keys, [(place, _digest(text), len(text.split()), *marks) for place, text, *marks in page.blocks]
 
-def infer(pages: list[str]) -> str:
-    """The wrapper of a host from sample pages, as JSON: alphabet, expression, the article's container, template texts."""
-    alphabet, wrapper = Alphabet(), None
-    read_pages = [read(p) for p in pages]
-    for page in read_pages:
-        folded = alphabet.fold(alphabet.encode(page.keys))
+
+def learn(shapes: list[list[str]]) -> dict:
+    """The wrapper of differing structures: alphabet, expression, and its containers' elements and places."""
+    alphabet, wrapper, pattern = Alphabet(), None, None
+    for keys in shapes:
+        if pattern is not None and pattern.fullmatch("".join(alphabet.of.get(k, "\uffff") for k in keys)):
+            continue
+        if len(alphabet.of) + len(alphabet.groups) + 2 * len(keys) > alphabet.LETTERS:
+            continue  # names without end: there are no more characters, and the page is cut by the names alone
+        folded = alphabet.fold(alphabet.encode(keys))
         if wrapper is None:
             wrapper = [(c, False) for c in folded]
         elif "".join(c for c, _ in wrapper) != folded:
@@ -370,39 +370,111 @@ def infer(pages: list[str]) -> str:
                 optional = {c for c, o in wrapper if o}
                 wrapper = [(c, c in optional) for c in plain]
             wrapper = align(wrapper, folded)
-    back = {c: k for k, c in alphabet.of.items()}
-    items = [back.get(c, "") for c, _ in wrapper or []]
-    containers = _containers(items)
-    source = _expression(wrapper or [], alphabet, containers)
-    pattern = re.compile(source, re.S) if source else None
-    met = [(page, spans) for page in read_pages if pattern is not None and (spans := _spans(pattern, page, alphabet.of)) is not None]
-    outside = _template([[text for _, text, aside, main, _, _ in page.blocks if not aside and not main] for page, _ in met])
-    chosen = _choose(items, containers, met, outside) if len(met) > 1 else None
-    inside = _template([_texts_in(page, spans[chosen]) for page, spans in met if spans[chosen][1] > spans[chosen][0]]) if chosen else set()
-    return json.dumps({"alphabet": alphabet.of, "pattern": source, "chosen": chosen, "semantic": bool(chosen) and items[containers[int(chosen[1:])][0]].split(".")[0] in MAIN, "outside": sorted(outside), "inside": sorted(inside)})
+        items = [alphabet.key_of.get(c, "") for c, _ in wrapper]
+        containers = _containers(items)
+        source = _expression(wrapper, alphabet, containers)
+        pattern = re.compile(source, re.S) if source else None
+    if wrapper is None:
+        return {"alphabet": {}, "pattern": "", "containers": []}
+    return {"alphabet": alphabet.of, "pattern": source, "containers": [(items[a].split(".")[0], a, b) for a, b in containers]}
+
+
+class Survey:
+    """What pages of one host show under its wrapper, found for any part of them and merged.
+
+    The first pass finds the texts that all pages share, outside of main elements and in each container. With those known
+    (``common``) the second counts words and headings by container and keeps pages that are unlike each other.
+    """
+
+    def __init__(self, common: dict[str, list[int]] | None = None) -> None:
+        self.n = 0
+        self.common = None if common is None else {k: set(v) for k, v in common.items()}
+        self.shared: dict[str, set[int]] = {}
+        self.kept: dict[str, list[set[int]]] = {}
+        self.counts: dict[str, list[int]] = {}  # container -> words, headings, and both in texts that all share outside
+
+    def add(self, blocks: list[tuple], spans: dict[str, tuple[int, int]]) -> None:
+        self.n += 1
+        found = {"outside": {b[1] for b in blocks if not b[3] and not b[4]}}
+        found |= {name: {b[1] for b in blocks if not b[3] and x <= b[0] < y} for name, (x, y) in spans.items() if y > x}
+        for name, texts in found.items():
+            if self.common is None:
+                self._share(name, texts)
+            else:
+                self._keep(name, texts - self.common.get(name, set()))
+        if self.common is None:
+            return
+        for place, text, words, aside, _, link, heading in blocks:
+            if not aside and not link:
+                template = text in self.common.get("outside", set())
+                for name in [n for n, (x, y) in spans.items() if x <= place < y] + ["page"]:
+                    self._count(name, [words, int(heading), words * template, int(heading and template)])
+
+    def _share(self, name: str, texts: set[int]) -> None:
+        self.shared[name] = self.shared[name] & texts if name in self.shared else texts
+
+    def _keep(self, name: str, own: set[int]) -> None:
+        """Copies and near copies of one article share its texts too; they are not unlike."""
+        kept = self.kept.setdefault(name, [])
+        if own and len(kept) < UNLIKE and all(10 * len(own & k) <= min(len(own), len(k)) for k in kept):
+            kept.append(own)
 
+    def _count(self, name: str, more: list[int]) -> None:
+        self.counts[name] = [a + b for a, b in zip(self.counts.get(name, [0] * 4), more)]
 
-def _texts_in(page: Page, span: tuple[int, int]) -> list[str]:
-    return [b[1] for b in page.blocks if not b[2] and span[0] <= b[0] < span[1]]
+    def state(self) -> str:
+        return json.dumps({"n": self.n, "shared": {k: list(v) for k, v in self.shared.items()}, "kept": {k: [sorted(x) for x in v] for k, v in self.kept.items()}, "counts": self.counts})
 
+    def merge(self, state: str) -> None:
+        other = json.loads(state)
+        self.n += other["n"]
+        for name, texts in other["shared"].items():
+            self._share(name, set(texts))
+        for name, sets in other["kept"].items():
+            for own in sets:
+                self._keep(name, set(own))
+        for name, more in other["counts"].items():
+            self._count(name, more)
+
+
+def conclude(learned: dict, survey: Survey) -> str:
+    """The wrapper as JSON: alphabet, expression, the article's container, digests of template texts.
+
+    Texts on all pages are the template's if there are ``UNLIKE`` pages whose other texts are their own; else none are.
+    """
+    template = lambda name: sorted(survey.common.get(name, ())) if len(survey.kept.get(name, ())) >= UNLIKE else []
+    known = bool(template("outside"))
+    prose = Counter({name: c[0] - c[2] * known for name, c in survey.counts.items()})
+    headings = Counter({name: c[1] - c[3] * known for name, c in survey.counts.items()})
+    chosen = _choose(learned["containers"], prose, headings) if survey.n > 1 else None
+    semantic = bool(chosen) and learned["containers"][int(chosen[1:])][0] in MAIN
+    return json.dumps({"alphabet": learned["alphabet"], "pattern": learned["pattern"], "chosen": chosen, "semantic": semantic, "outside": template("outside"), "inside": template(chosen) if chosen else []})
 
-def _choose(items: list[str], containers: list[tuple[int, int]], met: list[tuple[Page, dict]], template: set[str]) -> str | None:
+
+def infer(pages: list[str]) -> str:
+    """The wrapper of a host from pages in one place; see ``conclude``."""
+    briefs = [brief(read(p)) for p in pages]
+    learned = learn([keys for keys, _ in briefs])
+    pattern = re.compile(learned["pattern"], re.S)
+    met = [(blocks, spans) for keys, blocks in briefs if learned["pattern"] and (spans := _spans(pattern, keys, learned["alphabet"])) is not None]
+    first = Survey()
+    for blocks, spans in met:
+        first.add(blocks, spans)
+    second = Survey(first.shared)
+    for blocks, spans in met:
+        second.add(blocks, spans)
+    return conclude(learned, second)
+
+
+def _choose(containers: list[tuple[str, int, int]], prose: Counter, headings: Counter) -> str | None:
     """The group of the container that holds the host's prose that is not the template's; None for the whole page.
 
     Only pages unlike each other tell a template: on a host of copies, what they share counts as prose.
     """
-    prose, headings = Counter(), Counter()
-    for page, spans in met:
-        for place, text, aside, _, link, heading in page.blocks:
-            if aside or link or text in template:
-                continue
-            for name in [n for n, (a, b) in spans.items() if a <= place < b] + ["page"]:
-                prose[name] += len(text.split())
-                headings[name] += heading
     at, inner = "page", [f"c{k}" for k in range(len(containers))]
-    within = {f"c{k}": [f"c{o}" for o, (x, y) in enumerate(containers) if a < x and y < b] for k, (a, b) in enumerate(containers)}
+    within = {f"c{k}": [f"c{o}" for o, (_, x, y) in enumerate(containers) if a < x and y < b] for k, (_, a, b) in enumerate(containers)}
     while prose[at]:
-        main = [n for n in inner if items[containers[int(n[1:])][0]].split(".")[0] in MAIN and 2 * prose[n] > prose[at]]
+        main = [n for n in inner if containers[int(n[1:])][0] in MAIN and 2 * prose[n] > prose[at]]
         if main:
             return main[0]
         fuller = [n for n in inner if prose[n] >= NEARLY_ALL * prose[at] and headings[n] == headings[at]]
@@ -424,26 +496,30 @@ class Wrapper:
         """Places of the article in a page that the wrapper matches."""
         if self.pattern is None or not self.chosen:
             return None
-        spans = _spans(self.pattern, page, self.alphabet)
+        spans = _spans(self.pattern, page.keys, self.alphabet)
         span = spans[self.chosen] if spans else (0, 0)
         return span if span[1] > span[0] else None  # all of it may be optional
 
 
+def _among(text: str, template: set[int]) -> bool:
+    return bool(template) and _digest(text) in template
+
+
 def extract(html: str | None, wrapper: Wrapper | None) -> str:
     """The article's blocks in page order, one per line."""
     page = read(html)
     region = wrapper.region(page) if wrapper else None
     kept = [b for b in page.blocks if not b[2]]
     if region:
-        inside = [b for b in kept if region[0] <= b[0] < region[1] and b[1] not in wrapper.inside]
+        inside = [b for b in kept if region[0] <= b[0] < region[1] and not _among(b[1], wrapper.inside)]
         if not wrapper.semantic:  # lists of links and the template's own texts are no article
-            inside = [b for b in inside if not b[4] and b[1] not in wrapper.outside] or inside
+            inside = [b for b in inside if not b[4] and not _among(b[1], wrapper.outside)] or inside
         kept = inside
     elif any(b[3] for b in kept):
         kept = [b for b in kept if b[3]]
     else:  # no main container: lists of links and the template's own texts are no article
-        template = wrapper.outside if wrapper else set()
-        kept = [b for b in kept if not b[4] and b[1] not in template] or kept
+        template = wrapper.outside if wrapper else frozenset()
+        kept = [b for b in kept if not b[4] and not _among(b[1], template)] or kept
     return "\n".join(b[1] for b in kept)
 
 
@@ -451,19 +527,82 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
-def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """(host, wrapper) from at most ``sample`` differing pages per host, lowest hashes first, however long they are."""
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("html is not null").withColumn("hash", F.xxhash64("html"))
-    counts = rows.groupBy("host").agg(F.approx_count_distinct("hash").alias("n"))
-    # About three times the sample of a host's differing pages by hash; equal pages have equal hashes and merge before they meet.
-    near = rows.join(F.broadcast(counts) if counts.count() <= MAX_BROADCAST else counts, "host").where(F.pmod("hash", F.lit(1 << 24)) < F.lit(3.0 * sample * (1 << 24)) / F.col("n"))
-    distinct = near.groupBy("host", "hash").agg(F.first("html").alias("html"))
+BRIEF = "host string, hash long, shape long, keys array<string>, blocks array<struct<place:int,text:long,words:int,aside:boolean,main:boolean,link:boolean,heading:boolean>>"
+#: Hosts whose surveys a task holds before it hands them on.
+HELD = 500
+
+
+def _read_rows(batches):
+    for pdf in batches:
+        rows = []
+        for host, number, html in zip(pdf["host"], pdf["hash"], pdf["html"]):
+            keys, blocks = brief(read(html))
+            rows.append((host, number, _digest("\x00".join(keys)), keys, [dict(zip(("place", "text", "words", "aside", "main", "link", "heading"), b)) for b in blocks]))
+        yield pd.DataFrame(rows, columns=["host", "hash", "shape", "keys", "blocks"])
+
 
-    def learn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        chosen = pdf.sort_values("hash", kind="stable")["html"].tolist()[:sample]
-        return pd.DataFrame({"host": [key[0]], "wrapper": [infer(chosen)]})
+def _surveyed(rows: DataFrame, learned: DataFrame) -> DataFrame:
+    """(host, state): the surveys of all ``rows`` under ``learned`` (host, learned, common), merged by host."""
 
-    return distinct.groupBy("host").applyInPandas(learn, "host string, wrapper string")
+    def look(batches):
+        held_: dict[str, Survey] = {}
+        parsed: dict[str, tuple] = {}
+
+        def hand_on():
+            out = pd.DataFrame({"host": list(held_), "state": [x.state() for x in held_.values()]}, dtype=object)
+            held_.clear()
+            parsed.clear()
+            return out
+
+        for pdf in batches:
+            for host, keys, blocks, source, common in zip(pdf["host"], pdf["keys"], pdf["blocks"], pdf["learned"], pdf["common"]):
+                if host not in held_:
+                    if len(held_) >= HELD:
+                        yield hand_on()
+                    found = json.loads(source)
+                    parsed[host] = (re.compile(found["pattern"], re.S), found["alphabet"])
+                    held_[host] = Survey(None if common is None else json.loads(common))
+                spans = _spans(parsed[host][0], list(keys), parsed[host][1])
+                if spans is not None:
+                    held_[host].add([(b["place"], b["text"], b["words"], b["aside"], b["main"], b["link"], b["heading"]) for b in blocks], spans)
+        yield hand_on()
+
+    met = rows.select(F.col("host").alias("_host"), "keys", "blocks").join(learned, F.col("_host") == F.col("host"))
+    return met.select("host", "keys", "blocks", "learned", "common").mapInPandas(look, "host string, state string")
+
+
+def wrappers(pages: DataFrame, scratch, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, wrapper) from all differing pages of each host; equal pages count once."""
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("html is not null").withColumn("hash", F.xxhash64("html"))
+    rows = scratch.keep(rows.mapInPandas(_read_rows, BRIEF).dropDuplicates(["host", "hash"]), "briefs")
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= MAX_BROADCAST else df
+
+    def learned_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = learn([list(k) for k in pdf.sort_values("shape", kind="stable")["keys"]])
+        return pd.DataFrame({"host": [key[0]], "learned": [json.dumps(found)], "common": [None]}, dtype=object)
+
+    def shared_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        survey = Survey()
+        for state in pdf["state"]:
+            survey.merge(state)
+        return pd.DataFrame({"of": [key[0]], "common": [json.dumps({k: sorted(v) for k, v in survey.shared.items()})]})
+
+    def concluded(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        survey = Survey(json.loads(pdf["common"].iloc[0]))
+        for state in sorted(pdf["state"]):
+            survey.merge(state)
+        return pd.DataFrame({"host": [key[0]], "wrapper": [conclude(json.loads(pdf["learned"].iloc[0]), survey)]})
+
+    shapes = rows.groupBy("host", "shape").agg(F.first("keys").alias("keys"))
+    learned = scratch.keep(shapes.groupBy("host").applyInPandas(learned_of, "host string, learned string, common string"), "learned")
+    shared = _surveyed(rows, small(learned)).groupBy("host").applyInPandas(shared_of, "of string, common string")
+    shared = scratch.keep(learned.drop("common").join(shared, F.col("host") == F.col("of")).drop("of"), "shared")
+    counted = _surveyed(rows, small(shared)).withColumnRenamed("host", "of").join(shared, F.col("host") == F.col("of")).drop("of")
+    out = scratch.keep(counted.groupBy("host").applyInPandas(concluded, "host string, wrapper string"), "wrappers")
+    scratch.drop("briefs")
+    return out
 
 
 def _wrapper(source: str | None) -> Wrapper | None:
@@ -483,13 +622,12 @@ def extract_main(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     ``text`` has the article's blocks (headings, paragraphs, items, cells) in page order, joined by one line
     feed, with character references decoded and white space turned into one space; it is empty where there is
     none, or the HTML is null. ``n_chars`` counts its code points. Pages without a host share the wrapper of the empty
-    host. A host whose sampled hashes are all too high has no wrapper and its pages use the container rules
-    alone. Repeated rows and null ids give one row each; other columns are not read.
+    host. Repeated rows and null ids give one row each; other columns are not read.
     """
     from .common import Scratch
 
     scratch = scratch or Scratch(pages.sparkSession, "html")
-    known = scratch.keep(wrappers(pages, url_col=url_col, html_col=html_col), "wrappers")
+    known = wrappers(pages, scratch, url_col=url_col, html_col=html_col)
     right = known.select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"))
     if known.count() <= MAX_BROADCAST:
         right = F.broadcast(right)

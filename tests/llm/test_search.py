@@ -269,6 +269,16 @@ def test_copies_of_a_hosts_pages_do_not_keep_it_from_a_wrapper(spark):
     assert sorted((r.page_id, r.text) for r in got) == [(k, f"Story {k}\nBody {k}") for k in range(6)]
 
 
+def test_wrappers_learn_from_every_page(spark):
+    """One page in two hundred has a notice that no name tells, and lacks the line that the others share."""
+    body = lambda k: "".join(f"<p>{' '.join(words(40 * k + i, 12))}</p>" for i in range(2 + k % 3))
+    pages = [f"<html><body><div class=x1><h2>Title {k}</h2>{body(k)}{'' if k == 77 else '<p>Always here</p>'}</div>{f'<div class=x2><p>Once {k}</p></div>' if k == 77 else ''}<div class=x3><p>Seen {k}</p></div></body></html>" for k in range(200)]
+    frame = spark.createDataFrame([(k, f"http://h.org/{k}", html) for k, html in enumerate(pages)], "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text.split("\n") for r in html_extract.extract_main(frame).collect()}
+    for k, lines in got.items():
+        assert lines == [f"Title {k}", *(" ".join(words(40 * k + i, 12)) for i in range(2 + k % 3)), *(["Always here"] if k != 77 else [])]
+
+
 def test_the_wrapper_finds_the_article_that_no_name_tells():
     """Varying texts around it would be kept without the wrapper."""
     rng = random.Random(5)
